@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,57 +21,70 @@ BASE, AT = catalog.BASE, catalog.FETCHED
 
 
 class Tables:
-    """Inputs of one scale folder."""
+    """Inputs of one scale folder; plans only, shared by the queries over it."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = configure(spark), folder
+        self.spark, self.folder = spark, folder
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @property
+    @cached_property
     def part(self) -> DataFrame:
         return self.read("part")
 
-    @property
+    @cached_property
     def web(self) -> DataFrame:
         """The supplied pages as snapshots."""
         return self.read("pages").select("page_id", "url", F.lit(200).alias("status"), "html")
 
-    @property
+    @cached_property
+    def category_pages(self) -> DataFrame:
+        return catalog.category_pages(self.part)
+
+    @cached_property
+    def listing_pages(self) -> DataFrame:
+        return catalog.listing_pages(self.part)
+
+    @cached_property
+    def detail_pages(self) -> DataFrame:
+        return catalog.detail_pages(self.part)
+
+    @cached_property
     def shop(self) -> DataFrame:
-        return catalog.shop_pages(self.part)
+        pages = self.category_pages.unionByName(self.listing_pages).unionByName(self.detail_pages)
+        return catalog.stamped(pages)
 
-    @property
+    @cached_property
     def seeds(self) -> DataFrame:
         return frontier.seed_frontier(catalog.seeds(self.part), BASE)
 
-    @property
+    @cached_property
     def details(self) -> DataFrame:
         """Readable detail pages in extraction form."""
-        pages = catalog.detail_pages(self.part).filter("status = 200")
+        pages = self.detail_pages.filter("status = 200")
         return as_details(pages)
 
-    @property
+    @cached_property
     def listings(self) -> DataFrame:
         """Listing pages of the crawl, compact, with their place in the run."""
-        front = frontier.listing_frontier(self.seeds, catalog.category_pages(self.part), BASE)
-        readable = snapshots.ok_pages(catalog.category_pages(self.part).unionByName(catalog.listing_pages(self.part)))
+        front = frontier.listing_frontier(self.seeds, self.category_pages, BASE)
+        readable = snapshots.ok_pages(self.category_pages.unionByName(self.listing_pages))
         return jobs.listings_read(front, listing.jsonld_scripts(readable, "ItemList"))
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
         return jobs.raw_listing_products(self.listings)
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         return jobs.stamp(validate.validate(self.raw), AT)
 
-    @property
+    @cached_property
     def linked(self) -> DataFrame:
         return self.listings.withColumn("links", frontier.product_links(F.col("scripts")))
 
-    @property
+    @cached_property
     def detail_facts(self) -> DataFrame:
         return detail.extract_detail(self.details).select(F.col("page_url").alias("url"), "record")
 
@@ -220,8 +234,8 @@ def _classify_requests(t: Tables) -> DataFrame:
 
 def _classify_audit(t: Tables) -> DataFrame:
     front = frontier.listing_frontier(t.seeds, t.shop, BASE).select("url")
-    # The rendered deal pages stand in for a listing that turns out to be something else.
-    odd = catalog.detail_pages(t.part).filter("status = 200").select("url", "html")
+    # Detail pages stand in for a listing that turns out to be something else.
+    odd = t.detail_pages.filter("status = 200").select("url", "html")
     met = typing_.classify(snapshots.ok_pages(t.shop).select("url", "html"))
     return typing_.audit_types(met.join(front.unionByName(odd.select("url")), "url", "left_semi"))
 
@@ -247,7 +261,7 @@ def _jsonld_itemlists(t: Tables) -> DataFrame:
 
 
 def _listing_elements(t: Tables) -> DataFrame:
-    pages = catalog.listing_pages(t.part).select(F.col("url").alias("page_url"), "html")
+    pages = t.listing_pages.select(F.col("url").alias("page_url"), "html")
     rows = listing.listing_elements(
         listing.jsonld_itemlists(listing.jsonld_blocks(listing.jsonld_scripts(pages, "ItemList")))
     )
@@ -262,7 +276,7 @@ def _listing_elements(t: Tables) -> DataFrame:
 
 
 def _extracted(t: Tables) -> DataFrame:
-    return listing.extract_listing(as_listings(catalog.category_pages(t.part).unionByName(catalog.listing_pages(t.part))))
+    return listing.extract_listing(as_listings(t.category_pages.unionByName(t.listing_pages)))
 
 
 def _listing_products_raw(t: Tables) -> DataFrame:
@@ -457,8 +471,13 @@ def _product_count(t: Tables) -> DataFrame:
     return store.product_count(t.products)
 
 
+@lru_cache(maxsize=4)
+def tables(spark: SparkSession, folder: str) -> Tables:
+    return Tables(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build):
-        return lambda spark, folder: build(Tables(spark, folder))
+        return lambda spark, folder: build(tables(configure(spark), folder))
 
     return {q.__name__[1:]: bound(q) for q in [*_QUERIES, _extract_listing, _product_count]}

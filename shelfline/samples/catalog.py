@@ -328,7 +328,11 @@ def detail_pages(part: DataFrame) -> DataFrame:
 
 def shop_pages(part: DataFrame) -> DataFrame:
     """All pages of the shop in snapshot form."""
-    pages = category_pages(part).unionByName(listing_pages(part)).unionByName(detail_pages(part))
+    return stamped(category_pages(part).unionByName(listing_pages(part)).unionByName(detail_pages(part)))
+
+
+def stamped(pages: DataFrame) -> DataFrame:
+    """Pages with their fetch time."""
     return pages.withColumn("fetched_at", F.lit(FETCHED).cast("timestamp"))
 
 
