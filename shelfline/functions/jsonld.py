@@ -5,22 +5,16 @@ Fields of an unexpected type become null or the field's default; a number stands
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import let
 from .numbers import parse_float, parse_int
 from .text import blank_to_null, strip
 
 _END = "end-of-script"
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once inside a lambda, where common subexpressions are not shared."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def node(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import let
+
 _SCHEME = r"\A([a-zA-Z][a-zA-Z0-9+.-]*):"
 # RFC 3986 appendix B split of a reference: authority, path, query, fragment (scheme handled apart).
 _PARTS = r"\A(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?\z"
@@ -20,6 +22,7 @@ def last_segment(url: Column) -> Column:
 
 
 def _resolve_dots(segments: Column) -> Column:
+    """Path from its segments with ``.`` and ``..`` worked off."""
     walked = F.aggregate(
         segments,
         F.array().cast("array<string>"),
@@ -27,38 +30,56 @@ def _resolve_dots(segments: Column) -> Column:
         .when(s == ".", out)
         .otherwise(F.concat(out, F.array(s))),
     )
-    closes = F.element_at(segments, -1).isin(".", "..")
-    path = F.array_join(F.when(closes, F.concat(walked, F.array(F.lit("")))).otherwise(walked), "/")
-    return F.when(path == "", "/").otherwise(path)
+    tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return let(F.array_join(F.concat(walked, tail), "/"), lambda p: F.when(p == "", "/").otherwise(p))
+
+
+def _split(url: Column) -> Column:
+    """Parts of a URL; a bare ``?`` or ``#`` counts as none."""
+    names = ("authority", "path", "query", "fragment")
+    parts = [F.regexp_extract(url, _PARTS, i + 1).alias(n) for i, n in enumerate(names)]
+    return let(
+        F.struct(F.lower(F.regexp_extract(url, _SCHEME, 1)).alias("scheme"), *parts),
+        lambda u: u.withField("query", F.when(u["query"] != "?", u["query"]).otherwise(""))
+        .withField("fragment", F.when(u["fragment"] != "#", u["fragment"]).otherwise("")),
+    )
+
+
+def _merged_path(base_path: Column, path: Column) -> Column:
+    """Path of a reference below the folder of the base path."""
+    folder = let(
+        F.split(base_path, "/"),
+        lambda d: F.when(F.element_at(d, -1) != "", F.slice(d, 1, F.size(d) - 1)).otherwise(d),
+    )
+    relative = let(
+        F.concat(folder, F.split(path, "/")),
+        lambda all_: F.filter(all_, lambda s, i: (i == 0) | (i == F.size(all_) - 1) | (s != "")),
+    )
+    return let(F.when(F.startswith(path, F.lit("/")), F.split(path, "/")).otherwise(relative), _resolve_dots)
 
 
 def resolve_url(base: Column, ref: Column) -> Column:
     """Resolve ``ref`` against the absolute URL ``base`` (RFC 3986, with empty queries and fragments dropped)."""
-    ref = F.regexp_replace(F.regexp_replace(ref, r"\A[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    scheme = F.lower(F.regexp_extract(ref, _SCHEME, 1))
-    base_scheme = F.lower(F.regexp_extract(base, _SCHEME, 1))
-    authority, path, query, fragment = (F.regexp_extract(ref, _PARTS, i) for i in (1, 2, 3, 4))
-    base_authority, base_path, base_query = (F.regexp_extract(base, _PARTS, i) for i in (1, 2, 3))
-    query = F.when(query == "?", "").otherwise(query)
-    base_query = F.when(base_query == "?", "").otherwise(base_query)
-    fragment = F.when(fragment == "#", "").otherwise(fragment)
-
-    base_dirs = F.split(base_path, "/")
-    base_dirs = F.when(F.element_at(base_dirs, -1) != "", F.slice(base_dirs, 1, F.size(base_dirs) - 1)).otherwise(base_dirs)
-    joined = F.concat(base_dirs, F.split(path, "/"))
-    last = F.size(joined) - 1
-    relative = F.filter(joined, lambda s, i: (i == 0) | (i == last) | (s != ""))
-    merged = _resolve_dots(F.when(F.startswith(path, F.lit("/")), F.split(path, "/")).otherwise(relative))
-    return (
-        F.when(ref == "", base)
-        .when((scheme != "") & (scheme != base_scheme), ref)
-        .when(authority != "", F.concat(base_scheme, F.lit(":"), authority, path, query, fragment))
-        .when(
-            path == "",
-            F.concat(
-                base_scheme, F.lit(":"), base_authority, base_path,
-                F.when(query != "", query).otherwise(base_query), fragment,
-            ),
+    cleaned = F.regexp_replace(F.regexp_replace(ref, r"\A[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+    def resolved(pair: Column) -> Column:
+        r, b, raw = pair["r"], pair["b"], pair["raw"]
+        origin = F.concat(b["scheme"], F.lit(":"), b["authority"])
+        own_query = F.when(r["query"] != "", r["query"]).otherwise(b["query"])
+        return (
+            F.when(raw == "", pair["base"])
+            .when((r["scheme"] != "") & (r["scheme"] != b["scheme"]), raw)
+            .when(
+                r["authority"] != "",
+                F.concat(b["scheme"], F.lit(":"), r["authority"], r["path"], r["query"], r["fragment"]),
+            )
+            .when(r["path"] == "", F.concat(origin, b["path"], own_query, r["fragment"]))
+            .otherwise(F.concat(origin, _merged_path(b["path"], r["path"]), r["query"], r["fragment"]))
         )
-        .otherwise(F.concat(base_scheme, F.lit(":"), base_authority, merged, query, fragment))
+
+    return let(
+        cleaned,
+        lambda raw: let(
+            F.struct(_split(raw).alias("r"), _split(base).alias("b"), raw.alias("raw"), base.alias("base")), resolved
+        ),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonld, markup
+from ..functions.bind import let
 from ..functions.numbers import first_number
 from ..functions.text import blank_to_null, decode_entities, node_text, strip
 from ..schemas import PRODUCT_TYPES, default
@@ -67,7 +68,7 @@ def _price_nodes(shown: Column) -> Column:
         rest = F.slice(found, at + 2, F.greatest(F.size(found) - at - 1, F.lit(0)))
         return F.when(at.isNotNull(), markup.element_nodes(rest, "span"))
 
-    return F.when(shown.rlike(r"(?is)<span[\s/>][^<]*price"), jsonld.let(token, inside))
+    return F.when(shown.rlike(r"(?is)<span[\s/>][^<]*price"), let(token, inside))
 
 
 def _sku_nodes(shown: Column) -> Column:
@@ -85,7 +86,7 @@ def _sku_nodes(shown: Column) -> Column:
         rest = F.slice(found, start + 2, F.size(found) - start - 1)
         return F.when(at.isNotNull(), markup.element_nodes(rest))
 
-    return F.when(shown.rlike(SKU_LABEL), jsonld.let(markup.tokens(markup.body(shown)), around))
+    return F.when(shown.rlike(SKU_LABEL), let(markup.tokens(markup.body(shown)), around))
 
 
 def sku_in(text: Column, keep_label: bool = False) -> Column:

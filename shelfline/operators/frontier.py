@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import jsonld, markup
+from ..functions.bind import let
 from ..functions.text import blank_to_null, decode_entities, node_text, strip, title_case
 from ..functions.urls import drop_slashes, last_segment, resolve_url
 from ..session import is_small
+from .rows import settle
 
 _SUBCATEGORY_TYPES = ("CollectionPage", "Category")
 _HITS = "array<struct<name:string,url:string>>"
@@ -73,8 +75,8 @@ def page_links(pages: DataFrame, base: str) -> DataFrame:
 def seed_frontier(seeds: DataFrame, base: str, limit: int | None = None) -> DataFrame:
     """Resolve seed paths ``(seed_ord, path)`` and keep the first ``limit`` (none or 0 keeps all)."""
     kept = seeds.filter(F.col("seed_ord") < limit) if limit else seeds
-    url = resolve_url(F.lit(base), F.col("path"))
-    return kept.select("seed_ord", url.alias("url"), last_segment(url).alias("category_name"))
+    resolved = settle(kept, "url", resolve_url(F.lit(base), F.col("path")))
+    return resolved.select("seed_ord", "url", last_segment(F.col("url")).alias("category_name"))
 
 
 def path_prefix(category_url: Column, base: str) -> Column:
@@ -148,25 +150,26 @@ def _seed_pages(seeds: DataFrame, pages: DataFrame) -> DataFrame:
     return ok.join(F.broadcast(urls), "url", "left_semi") if is_small(urls) else ok
 
 
-def _first_per_url(hits: DataFrame, key: str) -> DataFrame:
-    first = Window.partitionBy("seed_ord", key).orderBy("sub_pos")
-    return hits.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
-
-
-def _as_categories(seeds: DataFrame, hits: DataFrame) -> DataFrame:
-    """Category rows of every seed from the ``hits`` array of its page, first occurrence of a URL per seed."""
-    rows = seeds.join(hits, "url").select(
+def _candidates(seeds: DataFrame, hits: DataFrame) -> DataFrame:
+    """Every seed with the subcategories on its page, one row each; a seed without any keeps one row."""
+    rows = seeds.join(hits.select("url", "_prefix", "hits"), "url", "left").select(
         "seed_ord", F.col("url").alias("category_url"), "category_name", "_prefix",
         F.posexplode_outer("hits").alias("sub_pos", "h"),
-    ).filter(F.col("sub_pos").isNotNull())
+    )
     last = F.substring_index("_prefix", "/", -1)
     parent = F.when(F.col("h.found_by") == "html", F.coalesce(blank_to_null(F.col("category_name")), last))
-    rows = rows.select(
+    return rows.select(
         "seed_ord", "sub_pos", "category_url", "category_name", "h.name",
         F.col("h.url").alias("url"), F.col("h.raw_url").alias("raw_url"),
         F.coalesce(parent, "category_name").alias("parent"), F.lit(1).alias("depth"), "h.found_by",
     )
-    return _first_per_url(rows, "raw_url").drop("raw_url")
+
+
+def _as_categories(seeds: DataFrame, hits: DataFrame) -> DataFrame:
+    """Subcategories only, first occurrence of a URL per seed."""
+    first = Window.partitionBy("seed_ord", "raw_url").orderBy("sub_pos")
+    found = _candidates(seeds, hits).filter(F.col("sub_pos").isNotNull())
+    return found.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank", "raw_url")
 
 
 def _tagged(hits: Column, found_by: str, raw: str) -> Column:
@@ -196,29 +199,23 @@ def with_hits(pages: DataFrame, base: str, where: Column | None = None, how: str
     return staged
 
 
-def _subcategories(seeds: DataFrame, pages: DataFrame, base: str, how: str) -> DataFrame:
-    hits = with_hits(_seed_pages(seeds, pages), base, how=how).select("url", "_prefix", "hits")
-    return _as_categories(seeds, hits)
-
-
-def subcategories_of(seeds: DataFrame, facts: DataFrame) -> DataFrame:
-    """Subcategories from pages whose ``hits`` are known already."""
-    return _as_categories(seeds, facts.select("url", "_prefix", "hits"))
+def _page_hits(seeds: DataFrame, pages: DataFrame, base: str, how: str) -> DataFrame:
+    return with_hits(_seed_pages(seeds, pages), base, how=how)
 
 
 def subcategories(seeds: DataFrame, pages: DataFrame, base: str) -> DataFrame:
     """Subcategories from anchors only."""
-    return _subcategories(seeds, pages, base, "html").drop("found_by")
+    return _as_categories(seeds, _page_hits(seeds, pages, base, "html")).drop("found_by")
 
 
 def subcategories_jsonld(seeds: DataFrame, pages: DataFrame, base: str) -> DataFrame:
     """Subcategories from JSON-LD only, whatever the anchors say."""
-    return _subcategories(seeds, pages, base, "jsonld").drop("found_by")
+    return _as_categories(seeds, _page_hits(seeds, pages, base, "jsonld")).drop("found_by")
 
 
 def subcategories_all(seeds: DataFrame, pages: DataFrame, base: str) -> DataFrame:
     """Subcategories of every seed: anchors first, JSON-LD where anchors gave none."""
-    return _subcategories(seeds, pages, base, "all")
+    return _as_categories(seeds, _page_hits(seeds, pages, base, "all"))
 
 
 def listing_frontier(seeds: DataFrame, pages: DataFrame, base: str, visited: DataFrame | None = None) -> DataFrame:
@@ -227,27 +224,23 @@ def listing_frontier(seeds: DataFrame, pages: DataFrame, base: str, visited: Dat
     Subcategories count once, at their first place in the run, and not when already visited. A category
     without any (or without a readable page) is read as a listing itself; it is neither checked nor marked.
     """
-    return listing_frontier_of(seeds, subcategories_all(seeds, pages, base), visited)
-
-
-def listing_frontier_of(seeds: DataFrame, subs: DataFrame, visited: DataFrame | None = None) -> DataFrame:
-    run_order = Window.partitionBy("url").orderBy("seed_ord", "sub_pos")
-    found = (
-        subs.withColumn("_rank", F.row_number().over(run_order))
-        .filter("_rank = 1")
-        .select(
-            "url",
-            F.concat_ws(" > ", "category_name", "name").alias("category_path"),
-            "seed_ord", "sub_pos", F.lit(False).alias("is_category"),
-        )
+    return listing_frontier_of(seeds, _page_hits(seeds, pages, base, "all"), visited)
+
+
+def listing_frontier_of(seeds: DataFrame, hits: DataFrame, visited: DataFrame | None = None) -> DataFrame:
+    """The same from pages whose ``hits`` are known: one pass, one shuffle on the address."""
+    alone = F.col("sub_pos").isNull()
+    rows = _candidates(seeds, hits).select(
+        F.when(alone, F.col("category_url")).otherwise(F.col("url")).alias("url"),
+        F.when(alone, F.col("category_name")).otherwise(F.concat_ws(" > ", "category_name", "name")).alias("category_path"),
+        "seed_ord", F.coalesce("sub_pos", F.lit(0)).alias("sub_pos"), alone.alias("is_category"),
     )
     if visited is not None:
-        found = unvisited(found, visited)
-    alone = seeds.join(subs.select("seed_ord").distinct(), "seed_ord", "left_anti").select(
-        "url", F.col("category_name").alias("category_path"), "seed_ord",
-        F.lit(0).alias("sub_pos"), F.lit(True).alias("is_category"),
-    )
-    return found.unionByName(alone)
+        done = visited.filter(F.col("status") == "visited").select(F.col("url").alias("_done"))
+        rows = rows.join(done, (F.col("url") == F.col("_done")) & ~F.col("is_category"), "left_anti")
+    own_seed = F.when(F.col("is_category"), F.col("seed_ord"))
+    first = Window.partitionBy("url", own_seed).orderBy("seed_ord", "sub_pos")
+    return rows.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
 def unvisited(frontier: DataFrame, visited: DataFrame) -> DataFrame:
@@ -270,7 +263,7 @@ def product_links(scripts: Column) -> Column:
         found = listed_elements(blocks)
         return F.when(F.exists(found, named), listed_urls(found))
 
-    return jsonld.let(parsed, links)
+    return let(parsed, links)
 
 
 def listed_elements(blocks: Column) -> Column:

@@ -25,7 +25,7 @@ LISTING_PHASE, DETAIL_PHASE = 0, 1
 
 @dataclass
 class RunResult:
-    """Frames of one run; nothing but the page facts has been computed when it is returned."""
+    """Frames of one run. Page facts, frontier, raw and new products are written tables, the rest is lazy."""
 
     products: DataFrame
     """The product table after the run."""
@@ -154,10 +154,9 @@ def full_run(
     spark = configure(pages.sparkSession)
     start = frontier.seed_frontier(seeds, base, limit)
     facts = materialize(page_facts(pages, start, base, details=not skip_details), "facts")
-    subs = frontier.subcategories_of(start, facts)
-    front = frontier.listing_frontier_of(start, subs, visited)
+    front = materialize(frontier.listing_frontier_of(start, facts, visited), "frontier")
     listings = listings_read(front, facts, batch)
-    raw = raw_listing_products(listings)
+    raw = materialize(raw_listing_products(listings), "raw")
     valid = stamp(validate.validate(raw), scraped_at)
     before = empty_products(spark) if stored is None else stored.select(*PRODUCT_COLUMNS)
     fresh = materialize(new_products(valid, before), "fresh")

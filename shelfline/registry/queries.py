@@ -14,7 +14,7 @@ from ..operators import classify as typing_
 from ..operators import detail, frontier, listing, merge, reports, validate
 from ..plans import jobs
 from ..samples import catalog
-from ..session import configure
+from ..session import configure, materialize
 from ..sources import export, snapshots, store
 
 BASE, AT = catalog.BASE, catalog.FETCHED
@@ -127,9 +127,10 @@ def _seed_frontier(t: Tables) -> DataFrame:
 
 
 def _insert_new_products(t: Tables) -> DataFrame:
-    deals = t.raw.filter(F.contains("page_url", F.lit("/deals-")))
+    raw = materialize(t.raw, "raw")
+    deals = raw.filter(F.contains("page_url", F.lit("/deals-")))
     stored = jobs.stamp(validate.validate(deals), AT).withColumn("category_path", F.lit("stored"))
-    return store.insert_new(stored, t.products).select("fingerprint", "product_name", "category_path")
+    return store.insert_new(stored, jobs.stamp(validate.validate(raw), AT)).select("fingerprint", "product_name", "category_path")
 
 
 def _visits(t: Tables) -> DataFrame:
@@ -420,17 +421,18 @@ def _field_coverage(t: Tables) -> DataFrame:
     return reports.field_coverage(t.products)
 
 
-def _detail_parts(t: Tables):
-    return jobs.detail_job(t.products, t.linked, t.detail_facts, AT)
+def _detail_parts(t: Tables, products: DataFrame):
+    return jobs.detail_job(products, t.linked, t.detail_facts, AT)
 
 
 def _merge_enrich(t: Tables) -> DataFrame:
-    changes, _, _ = _detail_parts(t)
-    return merge.apply_patches(t.products, changes).select("fingerprint", "product_url", "description")
+    products = materialize(t.products, "products")
+    changes, _, _ = _detail_parts(t, products)
+    return merge.apply_patches(products, changes).select("fingerprint", "product_url", "description")
 
 
 def _merge_insert(t: Tables) -> DataFrame:
-    _, added, _ = _detail_parts(t)
+    _, added, _ = _detail_parts(t, t.products)
     return flat(added)
 
 
