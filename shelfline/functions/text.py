@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import html
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Every code point that counts as whitespace (Unicode White_Space and the four separators).
 WS = r"[\p{IsWhite_Space}\x1c-\x1f]"
@@ -38,13 +40,18 @@ def title_case(col: Column) -> Column:
     )
 
 
-@F.arrow_udf("array<string>")
-def _decode_entities(cells: pa.Array) -> pa.Array:
-    def decode(value):
-        return html.unescape(value) if value is not None and "&" in value else value
+@lru_cache(maxsize=1)
+def _entity_decoder():
+    """The one function that runs outside the JVM. Being local, it travels to the executors by value."""
 
-    decoded = [None if cell is None else [decode(value) for value in cell] for cell in cells.to_pylist()]
-    return pa.array(decoded, type=pa.list_(pa.string()))
+    def decode_cells(cells: pa.Array) -> pa.Array:
+        def decode(value):
+            return html.unescape(value) if value is not None and "&" in value else value
+
+        decoded = [None if cell is None else [decode(value) for value in cell] for cell in cells.to_pylist()]
+        return pa.array(decoded, type=pa.list_(pa.string()))
+
+    return F.arrow_udf(decode_cells, ArrayType(StringType()))
 
 
 def decode_entities(values: Column) -> Column:
@@ -54,7 +61,7 @@ def decode_entities(values: Column) -> Column:
     need the decoder cross the process boundary. Pass all fields of a row in one array.
     """
     wanted = F.exists(values, lambda v: F.contains(v, F.lit("&")))
-    return F.coalesce(_decode_entities(F.when(wanted, values)), values)
+    return F.coalesce(_entity_decoder()(F.when(wanted, values)), values)
 
 
 def node_text(joined: Column) -> Column:
