@@ -17,14 +17,27 @@ _IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 
 _LD_TYPE = r"""(?-i:"application/ld\+json"|'application/ld\+json'|application/ld\+json(?=[\s/>]))"""
+_COMMENT = r"!--(?:[^-]++|-(?!->))*+(?:-->|\z)"
+
+
+def _raw_body(name: str) -> str:
+    """Content of an element whose text is not markup, up to its end tag."""
+    return rf"(?:[^<]++|<(?!/{name}[\s/>]))*+"
+
+
+def _raw_end(name: str) -> str:
+    return rf"(?:</{name}[^>]*+>|\z)"
+
+
+# All alternatives start with one literal, so the scan tests a single character at most positions.
 _LD_SCRIPTS = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    rf"|<script(?=[\s/>])(?:(?=[^>]*?\stype\s*+=\s*+{_LD_TYPE}){_IN_TAG}>(.*?)|.*?)(?:</script\s*>|\z)"
+    rf"(?is)<(?:{_COMMENT}|script(?=[\s/>])"
+    rf"(?:(?=[^>]*?\stype\s*+=\s*+{_LD_TYPE}){_IN_TAG}>({_raw_body('script')})|{_raw_body('script')}){_raw_end('script')})"
 )
 _HIDDEN = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script(?=[\s/>]).*?(?:</script\s*>|\z)"
-    r"|<style(?=[\s/>]).*?(?:</style\s*>|\z)"
+    rf"(?is)<(?:{_COMMENT}"
+    rf"|script(?=[\s/>]){_raw_body('script')}{_raw_end('script')}"
+    rf"|style(?=[\s/>]){_raw_body('style')}{_raw_end('style')})"
 )
 _ANCHORS = rf"(?is)<a(?=[\s/>]){_IN_TAG}>(?:[^<]++|<(?!/?a[\s/>]))*+"
 _TAG = rf"</?[a-zA-Z]{_IN_TAG}>|<![^>]*+>"
@@ -68,10 +81,6 @@ def text_nodes(content: Column) -> Column:
     return F.regexp_replace(content, rf"(?s){_TAG}", NODE_BREAK)
 
 
-def anchor_text(anchor: Column) -> Column:
-    return text_nodes(anchor)
-
-
 def title_text(shown: Column) -> Column:
     """Raw text of the first title element; null without one."""
     found = F.regexp_extract(shown, rf"(?is)(<title(?=[\s/>]){_IN_TAG}>.*?)(?:</title\s*>|\z)", 1)
@@ -121,6 +130,18 @@ def element_nodes(following: Column, tag: str | None = None) -> Column:
     return F.aggregate(following, start, walk, lambda acc: acc["text"])
 
 
+def element_text(following: Column, tag: str) -> Column:
+    """Text nodes of the element whose start tag came just before the markup ``following``.
+
+    Two levels of elements of the same name match by pattern; only deeper nesting is walked token by token.
+    """
+    plain = rf"(?:[^<]++|<(?!/?{tag}[\s/>]))"
+    inner = rf"<{tag}(?=[\s/>]){_IN_TAG}>{plain}*+</{tag}\s*>"
+    middle = rf"<{tag}(?=[\s/>]){_IN_TAG}>(?:{plain}|{inner})*+</{tag}\s*>"
+    found = F.regexp_extract(following, rf"(?is)\A((?:{plain}|{middle})*+</{tag}\s*>)", 1)
+    return F.when(found != "", text_nodes(found)).otherwise(element_nodes(tokens(following), tag))
+
+
 def parent_start(preceding: Column) -> Column:
     """Zero-based index of the start tag still open at the end of ``preceding``; null at top level."""
     size = F.size(preceding)

@@ -56,19 +56,14 @@ def _meta(metas: Column, key: str, value: str) -> Column:
 
 def _price_nodes(shown: Column) -> Column:
     """Raw text of the first span with a class containing ``price``."""
-    token = markup.tokens(shown)
+    classes = lambda t: F.coalesce(markup.attribute(t, "class"), F.lit(""))
+    first = F.get(F.filter(markup.tags(shown, "span"), lambda t: F.contains(classes(t), F.lit("price"))), F.lit(0))
 
-    def is_price(t: Column) -> Column:
-        return t.rlike(r"(?i)\A<span[\s/>]") & F.contains(
-            F.coalesce(markup.attribute(t, "class"), F.lit("")), F.lit("price")
-        )
-
-    def inside(found: Column) -> Column:
-        at = F.get(F.filter(F.transform(found, lambda t, i: F.when(is_price(t), i)), lambda i: i.isNotNull()), F.lit(0))
-        rest = F.slice(found, at + 2, F.greatest(F.size(found) - at - 1, F.lit(0)))
-        return F.when(at.isNotNull(), markup.element_nodes(rest, "span"))
+    def inside(tag: Column) -> Column:
+        rest = F.substr(shown, F.instr(shown, tag) + F.length(tag))
+        return F.when(tag.isNotNull(), markup.element_text(rest, "span"))
 
-    return F.when(shown.rlike(r"(?is)<span[\s/>][^<]*price"), let(token, inside))
+    return F.when(F.contains(shown, F.lit("price")), let(first, inside))
 
 
 def _sku_nodes(shown: Column) -> Column:
@@ -102,8 +97,8 @@ def sku_in(text: Column, keep_label: bool = False) -> Column:
 _PARTS = ("og_title", "title", "price", "sku", "description", "image")
 
 
-def with_markup_parts(pages: DataFrame, where: Column | None = None) -> DataFrame:
-    """Add ``parts``: decoded raw texts of the page (``_PARTS``), null where absent.
+def with_markup_cells(pages: DataFrame, where: Column | None = None) -> DataFrame:
+    """Replace ``html`` by ``_cells``: raw texts of the page (``_PARTS``), null where absent.
 
     Only rows that satisfy ``where`` are searched.
     """
@@ -118,12 +113,21 @@ def with_markup_parts(pages: DataFrame, where: Column | None = None) -> DataFram
         _meta(F.col("_metas"), "name", "description"),
         _meta(F.col("_metas"), "property", "og:image"),
     )
-    cells = shown.withColumn("_cells", raw).drop("_shown", "_metas")
-    decoded = cells.withColumn("_cells", decode_entities(F.col("_cells")))
+    return shown.withColumn("_cells", raw).drop("_shown", "_metas", "html")
+
+
+def with_parts(celled: DataFrame) -> DataFrame:
+    """Decode ``_cells`` into the struct ``parts``."""
+    decoded = celled.withColumn("_cells", decode_entities(F.col("_cells")))
     parts = F.struct(*[F.get("_cells", F.lit(i)).alias(name) for i, name in enumerate(_PARTS)])
     return decoded.withColumn("parts", parts).drop("_cells")
 
 
+def with_markup_parts(pages: DataFrame, where: Column | None = None) -> DataFrame:
+    """Replace ``html`` by ``parts``, the decoded raw texts of the page."""
+    return with_parts(with_markup_cells(pages, where))
+
+
 def title_name(parts: str = "parts") -> Column:
     """``og:title``, else the title text before the first bar; null when both are blank."""
     og = strip(F.col(f"{parts}.og_title"))
@@ -143,14 +147,19 @@ def markup_columns(keep_label: bool = False) -> dict[str, Column]:
     }
 
 
-def with_markup(pages: DataFrame, where: Column | None = None) -> DataFrame:
-    """Add ``by_markup``: the record read from meta tags and visible markup, null without a name."""
+def with_markup(parted: DataFrame) -> DataFrame:
+    """Turn ``parts`` into ``by_markup``: the record read from meta tags and visible markup, null without a name."""
     columns = markup_columns() | {"product_url": F.col("page_url"), "category_path": F.col("category_path")}
-    staged = with_markup_parts(pages, where).withColumn("_found", _record(columns)).drop("parts")
+    staged = parted.withColumn("_found", _record(columns)).drop("parts")
     named = F.when(F.col("_found.product_name").isNotNull(), F.col("_found"))
     return settle(staged, "by_markup", named).drop("_found")
 
 
+def read_page(pages: DataFrame) -> DataFrame:
+    """Replace ``html`` by ``by_jsonld`` and ``_cells``; the markup is searched only where JSON-LD gave nothing."""
+    return with_markup_cells(with_jsonld(pages), F.col("by_jsonld").isNull())
+
+
 def clean_answer(text: Column) -> Column:
     """Model answer without a code fence: the first line goes, and a closing fence after it."""
     answer = strip(text)
@@ -206,12 +215,13 @@ def answer_record(answers: DataFrame) -> DataFrame:
 
 
 def extract_detail(pages: DataFrame, answers: DataFrame | None = None) -> DataFrame:
-    """One row per page ``page_url, html, category_path, ...``: ``record`` and ``extracted_by``.
+    """One row per page ``page_url, html, category_path, ...``: ``record`` and ``extracted_by``."""
+    return resolve_record(read_page(pages), answers)
 
-    The visible markup is searched only where JSON-LD gave nothing, and the body is dropped before the
-    answers are joined.
-    """
-    ruled = with_markup(with_jsonld(pages), F.col("by_jsonld").isNull()).drop("html")
+
+def resolve_record(read: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """``record`` and ``extracted_by`` from the rows of :func:`read_page`; no body is left to shuffle or buffer."""
+    ruled = with_markup(with_parts(read))
     if answers is None:
         ruled = ruled.withColumn("by_model", F.lit(None).cast(f"struct<{_RECORD}>"))
     else:
@@ -230,12 +240,10 @@ def extract_detail(pages: DataFrame, answers: DataFrame | None = None) -> DataFr
 
 def extract_requests(pages: DataFrame, template: str = REQUEST, chars: int = SNIPPET_CHARS) -> DataFrame:
     """Model requests ``url, prompt`` for pages neither JSON-LD nor markup could read."""
-    ruled = with_markup(with_jsonld(pages), F.col("by_jsonld").isNull())
+    prompt = F.format_string(template, F.col("page_url"), F.substring("html", 1, chars))
+    ruled = with_markup(with_parts(read_page(pages.withColumn("prompt", prompt))))
     open_pages = ruled.filter(F.col("by_jsonld").isNull() & F.col("by_markup").isNull())
-    return open_pages.select(
-        F.col("page_url").alias("url"),
-        F.format_string(template, F.col("page_url"), F.substring("html", 1, chars)).alias("prompt"),
-    )
+    return open_pages.select(F.col("page_url").alias("url"), "prompt")
 
 
 def records(details: DataFrame) -> DataFrame:

@@ -17,38 +17,36 @@ from ..session import is_small
 from .rows import settle
 
 _SUBCATEGORY_TYPES = ("CollectionPage", "Category")
-_HITS = "array<struct<name:string,url:string>>"
+_HITS = "array<struct<name:string,url:string,raw_url:string,found_by:string>>"
 
 
-def _decoded_anchors(pages: DataFrame, where: Column | None = None) -> DataFrame:
-    """Add ``links``: array of ``pos, href, text`` for the anchors with an href.
+def with_anchor_cells(pages: DataFrame, where: Column | None = None) -> DataFrame:
+    """Add ``_anchor_cells``: raw href and text of every anchor, one after the other; null outside ``where``."""
+    found = markup.anchors(markup.visible(F.col("html")))
+    staged = pages.withColumn("_anchors", found if where is None else F.when(where, found))
+    pair = F.transform("_anchors", lambda a: F.array(markup.attribute(a, "href"), markup.text_nodes(a)))
+    return staged.withColumn("_anchor_cells", F.flatten(pair)).drop("_anchors")
+
+
+def with_links(celled: DataFrame) -> DataFrame:
+    """Turn ``_anchor_cells`` into ``links``: array of ``pos, href, text`` for the anchors with an href.
 
-    All hrefs and texts of a page decode in one call.
+    All cells of a page decode in one call. Drop the body first where it is no longer needed: rows wait in
+    a buffer while the decoder runs.
     """
-    found = markup.anchors(markup.visible(F.col("html")))
-    if where is not None:
-        found = F.when(where, found)
-    raw = pages.withColumn("_anchors", found).withColumn(
-        "_cells",
-        F.flatten(
-            F.transform(
-                "_anchors", lambda a: F.array(markup.attribute(a, "href"), markup.anchor_text(a))
-            )
-        ),
-    )
-    cells = raw.drop("_anchors").withColumn("_cells", decode_entities(F.col("_cells")))
-    count = (F.size("_cells") / 2).cast("int")
+    decoded = celled.withColumn("_anchor_cells", decode_entities(F.col("_anchor_cells")))
+    count = (F.size("_anchor_cells") / 2).cast("int")
     pairs = F.transform(
         F.when(count > 0, F.sequence(F.lit(0), count - 1)),
         lambda i: F.struct(
             i.alias("pos"),
-            F.get("_cells", i * 2).alias("href"),
-            node_text(F.get("_cells", i * 2 + 1)).alias("text"),
+            F.get("_anchor_cells", i * 2).alias("href"),
+            node_text(F.get("_anchor_cells", i * 2 + 1)).alias("text"),
         ),
     )
-    kept = F.filter(F.coalesce(pairs, F.array().cast("array<struct<pos:int,href:string,text:string>>")),
-                    lambda p: p["href"].isNotNull())
-    return cells.withColumn("links", kept).drop("_cells")
+    none = F.array().cast("array<struct<pos:int,href:string,text:string>>")
+    kept = F.filter(F.coalesce(pairs, none), lambda p: p["href"].isNotNull())
+    return decoded.withColumn("links", kept).drop("_anchor_cells")
 
 
 def absolute_link(href: Column, base: str) -> Column:
@@ -63,9 +61,8 @@ def absolute_link(href: Column, base: str) -> Column:
 
 def page_links(pages: DataFrame, base: str) -> DataFrame:
     """``page_url, pos, href, text, link_url`` for every anchor that resolves to an address."""
-    links = _decoded_anchors(pages.select(F.col("url").alias("page_url"), "html")).select(
-        "page_url", F.explode_outer("links").alias("l")
-    )
+    celled = with_anchor_cells(pages.select(F.col("url").alias("page_url"), "html")).drop("html")
+    links = with_links(celled).select("page_url", F.explode_outer("links").alias("l"))
     full = absolute_link(F.col("l.href"), base)
     return links.select("page_url", "l.pos", "l.href", "l.text", full.alias("link_url")).filter(
         F.col("link_url").isNotNull()
@@ -180,27 +177,27 @@ def _tagged(hits: Column, found_by: str, raw: str) -> Column:
     )
 
 
-def with_hits(pages: DataFrame, base: str, where: Column | None = None, how: str = "all") -> DataFrame:
-    """Add ``hits``, the subcategories of each page, and its path prefix; narrow.
+def with_hit_cells(pages: DataFrame, base: str, where: Column | None = None, how: str = "all") -> DataFrame:
+    """Add what :func:`with_hits` needs from the body: the path prefix, anchor cells and JSON-LD hits.
 
-    ``how`` is ``html`` (anchors), ``jsonld``, or ``all``: anchors, then JSON-LD on pages where they gave
-    none. Rows outside ``where`` get null hits at no cost.
+    ``how`` is ``html`` (anchors), ``jsonld``, or ``all``. Rows outside ``where`` get nulls at no cost.
     """
-    guard = F.lit(True) if where is None else where
     staged = pages.withColumn("_prefix", path_prefix(F.col("url"), base))
-    by_json = _tagged(_jsonld_children(F.col("html")), "jsonld", "raw_url")
-    if how == "jsonld":
-        return staged.withColumn("hits", F.when(guard, by_json))
-    staged = _decoded_anchors(staged, where)
+    by_json = _tagged(_jsonld_children(F.col("html")), "jsonld", "raw_url") if how != "html" else F.lit(None).cast(_HITS)
+    staged = staged.withColumn("_ld_hits", by_json if where is None else F.when(where, by_json))
+    return with_anchor_cells(staged, F.lit(False) if how == "jsonld" else where)
+
+
+def with_hits(celled: DataFrame, base: str) -> DataFrame:
+    """``hits``, the subcategories of each page: from anchors, else from JSON-LD."""
     by_anchor = _tagged(_children(F.col("links"), F.col("_prefix"), base), "html", "url")
-    staged = staged.withColumn("hits", F.when(guard, by_anchor)).drop("links")
-    if how == "all":
-        staged = staged.withColumn("hits", F.when(F.size("hits") == 0, by_json).otherwise(F.col("hits")))
-    return staged
+    staged = with_links(celled).withColumn("hits", by_anchor).drop("links")
+    best = F.when((F.size("hits") == 0) & F.col("_ld_hits").isNotNull(), F.col("_ld_hits")).otherwise(F.col("hits"))
+    return staged.withColumn("hits", best).drop("_ld_hits")
 
 
 def _page_hits(seeds: DataFrame, pages: DataFrame, base: str, how: str) -> DataFrame:
-    return with_hits(_seed_pages(seeds, pages), base, how=how)
+    return with_hits(with_hit_cells(_seed_pages(seeds, pages), base, how=how).drop("html"), base)
 
 
 def subcategories(seeds: DataFrame, pages: DataFrame, base: str) -> DataFrame:
@@ -283,11 +280,11 @@ def listed_urls(elements: Column) -> Column:
 
 
 def product_frontier(listings: DataFrame, visited: DataFrame | None = None) -> DataFrame:
-    """Detail pages to read: ``url, category_path, ord`` from compact listing rows with ``links`` and ``ord``.
+    """Detail pages to read: ``url, category_path, ord`` from compact listing rows with ``product_urls`` and ``ord``.
 
     Each URL counts once, at its first place in the run.
     """
-    rows = listings.select("category_path", "ord", F.posexplode_outer("links").alias("pos", "url"))
+    rows = listings.select("category_path", "ord", F.posexplode_outer("product_urls").alias("pos", "url"))
     rows = rows.filter(F.col("pos").isNotNull())
     placed = rows.select("url", "category_path", F.concat("ord", F.array(F.col("pos").cast("bigint"))).alias("ord"))
     first = first_in_run(placed)

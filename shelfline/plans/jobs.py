@@ -61,21 +61,20 @@ def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = Tr
     facts = flagged.withColumns(
         {"all_scripts": markup.ld_scripts(F.col("html")), "page_url": F.col("url"), "category_path": F.lit("")}
     )
-    facts = frontier.with_hits(facts, base, where)
     kept = F.filter("all_scripts", lambda s: jsonld.may_hold(s, "ItemList"))
-    facts = facts.withColumns(
-        {
-            "scripts": kept,
-            "page_type": F.coalesce(
-                typing_.type_by_url(F.col("url")), typing_.type_by_scripts(F.col("all_scripts")), F.lit("unknown")
-            ),
-        }
-    ).drop("all_scripts")
+    page_type = F.coalesce(
+        typing_.type_by_url(F.col("url")), typing_.type_by_scripts(F.col("all_scripts")), F.lit("unknown")
+    )
+    facts = facts.withColumns({"scripts": kept, "page_type": page_type}).drop("all_scripts")
+    facts = frontier.with_hit_cells(facts, base, where)
     columns = ["url", "page_type", "scripts", "_prefix", "hits"]
     if details:
-        facts = facts.withColumn("links", F.when(F.size("scripts") > 0, frontier.product_links(F.col("scripts"))))
-        facts = detail.extract_detail(facts)
-        columns += ["links", "record", "extracted_by"]
+        facts = facts.withColumn("product_urls", F.when(F.size("scripts") > 0, frontier.product_links(F.col("scripts"))))
+        facts = detail.read_page(facts)
+        columns += ["product_urls", "record", "extracted_by"]
+    facts = frontier.with_hits(facts.drop("html"), base)
+    if details:
+        facts = detail.resolve_record(facts)
     return facts.select(*columns)
 
 

@@ -82,7 +82,7 @@ class Tables:
 
     @cached_property
     def linked(self) -> DataFrame:
-        return self.listings.withColumn("links", frontier.product_links(F.col("scripts")))
+        return self.listings.withColumn("product_urls", frontier.product_links(F.col("scripts")))
 
     @cached_property
     def detail_facts(self) -> DataFrame:
@@ -357,7 +357,7 @@ def _detail_meta(t: Tables) -> DataFrame:
 
 
 def _detail_html(t: Tables) -> DataFrame:
-    return flat(detail.with_markup(t.details).filter("by_markup is not null").select("by_markup.*"))
+    return flat(detail.with_markup(detail.with_markup_parts(t.details)).filter("by_markup is not null").select("by_markup.*"))
 
 
 def _extract_detail(t: Tables) -> DataFrame:
