@@ -60,22 +60,23 @@ def may_hold(script: Column, word: str) -> Column:
     return F.contains(script, F.lit(word)) | F.contains(script, F.lit("\\u"))
 
 
-def blocks(script: Column) -> Column:
-    """Top-level blocks of one script; null when it is not exactly one JSON document.
+def document(script: Column) -> Column:
+    """The JSON document of a script; null when it is not exactly one.
 
     The parser alone accepts text after the document. Closing the script into a two-element array with a
     known last element leaves one reading.
     """
     wrapped = items(F.try_parse_json(F.concat(F.lit("["), script, F.lit(f', "{_END}"]'))))
     return let(
-        wrapped,
-        lambda w: let(
-            F.when((F.size(w) == 2) & (_string(F.get(w, F.lit(1))) == _END), F.get(w, F.lit(0))),
-            lambda top: F.coalesce(items(top), F.when(top.isNotNull(), F.array(top))),
-        ),
+        wrapped, lambda w: F.when((F.size(w) == 2) & (_string(F.get(w, F.lit(1))) == _END), F.get(w, F.lit(0)))
     )
 
 
+def blocks(script: Column) -> Column:
+    """Top-level blocks of one script: the elements of an array, or the document itself."""
+    return let(document(script), lambda top: F.coalesce(items(top), F.when(top.isNotNull(), F.array(top))))
+
+
 def offer(item: Column) -> Column:
     """The offer object: the first of a list, or the object itself."""
     return F.coalesce(node(item, "$.offers[0]"), node(item, "$.offers"))

@@ -31,16 +31,17 @@ def _resolve_dots(segments: Column) -> Column:
         .otherwise(F.concat(out, F.array(s))),
     )
     tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
-    return let(F.array_join(F.concat(walked, tail), "/"), lambda p: F.when(p == "", "/").otherwise(p))
+    return let(F.array_join(F.concat(walked, tail), "/"), lambda p: F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit("/"), p)))
 
 
 def _split(url: Column) -> Column:
-    """Parts of a URL; a bare ``?`` or ``#`` counts as none."""
+    """Parts of a URL; a bare ``//``, ``?`` or ``#`` counts as none."""
     names = ("authority", "path", "query", "fragment")
     parts = [F.regexp_extract(url, _PARTS, i + 1).alias(n) for i, n in enumerate(names)]
     return let(
         F.struct(F.lower(F.regexp_extract(url, _SCHEME, 1)).alias("scheme"), *parts),
-        lambda u: u.withField("query", F.when(u["query"] != "?", u["query"]).otherwise(""))
+        lambda u: u.withField("authority", F.when(u["authority"] != "//", u["authority"]).otherwise(""))
+        .withField("query", F.when(u["query"] != "?", u["query"]).otherwise(""))
         .withField("fragment", F.when(u["fragment"] != "#", u["fragment"]).otherwise("")),
     )
 

@@ -80,7 +80,7 @@ def classify_requests(pages: DataFrame, template: str = QUESTION, chars: int = S
         type_by_scripts(markup.ld_scripts(F.col("html"))).isNull()
     )
     return undecided.select(
-        "url", F.format_string(template, F.col("url"), F.substring("html", 1, chars)).alias("prompt")
+        "url", F.format_string(template, F.col("url"), F.substring(F.coalesce("html", F.lit("")), 1, chars)).alias("prompt")
     )
 
 

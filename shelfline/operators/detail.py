@@ -170,8 +170,7 @@ def clean_answer(text: Column) -> Column:
 
 def answer_record(answers: DataFrame) -> DataFrame:
     """Add ``by_model`` to ``answers(page_url, category_path, text)``: the JSON answer as a record, else null."""
-    block = jsonld.blocks(clean_answer(F.col("text")))
-    staged = answers.withColumn("_a", F.when(F.size(block) == 1, F.get(block, F.lit(0))))
+    staged = answers.withColumn("_a", jsonld.document(clean_answer(F.col("text"))))
     staged = staged.withColumn("_a", F.when(jsonld.is_object(F.col("_a")) & (jsonld.kind(F.col("_a")) != "OBJECT<>"), F.col("_a")))
     a = F.col("_a")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import fingerprint
+from ..session import narrow
 from .validate import first_wins
 
 
@@ -21,7 +22,8 @@ def first_per_address(products: DataFrame) -> DataFrame:
 
 def match_details(details: DataFrame, products: DataFrame) -> DataFrame:
     """Details next to the stored product at their address, if any; both sides hold an address once."""
-    return details.join(first_per_address(products), "product_url", "left")
+    near = narrow(products, details.select("product_url"))
+    return details.join(first_per_address(near), "product_url", "left")
 
 
 def patches(matched: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonld, markup
 from ..operators import classify as typing_
-from ..operators import detail, frontier, merge, validate
-from ..schemas import PRODUCT_TYPES, product_ddl
+from ..operators import detail, frontier, listing, merge, validate
+from ..schemas import PRODUCT_TYPES
 from ..session import configure, is_small, materialize
 from ..sources.snapshots import failed_pages, ok_pages
 from ..sources.store import Store, new_products
@@ -25,7 +25,7 @@ LISTING_PHASE, DETAIL_PHASE = 0, 1
 
 @dataclass
 class RunResult:
-    """Frames of one run. Page facts, frontier, raw and new products are written tables, the rest is lazy."""
+    """Frames of one run. Page facts, frontier, raw and valid products and details are written tables, the rest is lazy."""
 
     products: DataFrame
     """The product table after the run."""
@@ -42,10 +42,6 @@ class RunResult:
     """Page type met per listing, with the unexpected ones flagged."""
 
 
-def empty_products(spark) -> DataFrame:
-    return spark.createDataFrame([], product_ddl())
-
-
 def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = True) -> DataFrame:
     """One compact row per readable page: item-list scripts, product links, subcategories, detail record.
 
@@ -90,9 +86,7 @@ def listings_read(front: DataFrame, facts: DataFrame, batch: int = 0) -> DataFra
 
 
 def raw_listing_products(listings: DataFrame) -> DataFrame:
-    from ..operators.listing import extract_scripts
-
-    return extract_scripts(listings.select("page_url", "category_path", "ord", "scripts"))
+    return listing.extract_scripts(listings.select("page_url", "category_path", "ord", "scripts"))
 
 
 def stamp(products: DataFrame, scraped_at) -> DataFrame:
@@ -103,9 +97,7 @@ def listing_job(
     pages: DataFrame, front: DataFrame, scraped_at, stored: DataFrame | None = None, batch: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Status, extraction, validation and insert for a listing frontier: the new products and the raw ones."""
-    from ..operators.listing import jsonld_scripts
-
-    compact = jsonld_scripts(ok_pages(pages).select("url", "html"), "ItemList")
+    compact = listing.jsonld_scripts(ok_pages(pages).select("url", "html"), "ItemList")
     raw = raw_listing_products(listings_read(front, compact, batch))
     valid = stamp(validate.validate(raw), scraped_at)
     return (valid if stored is None else new_products(valid, stored)), raw
@@ -129,7 +121,7 @@ def detail_job(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Patches, inserts and marks from the detail pages of the listings read."""
     found, reached = detail_records(listings, facts, visited, batch)
-    stamped = found.withColumn("scraped_at", F.lit(scraped_at).cast("timestamp"))
+    stamped = materialize(found.withColumn("scraped_at", F.lit(scraped_at).cast("timestamp")), "details")
     matched = merge.match_details(stamped, products)
     return merge.patches(matched), merge.inserts(matched, PRODUCT_COLUMNS), reached
 
@@ -150,16 +142,19 @@ def full_run(
 
     All listings go before all details, so a listing product wins over a detail-only record with its key.
     """
-    spark = configure(pages.sparkSession)
+    configure(pages.sparkSession)
     start = frontier.seed_frontier(seeds, base, limit)
     facts = materialize(page_facts(pages, start, base, details=not skip_details), "facts")
     front = materialize(frontier.listing_frontier_of(start, facts, visited), "frontier")
     listings = listings_read(front, facts, batch)
     raw = materialize(raw_listing_products(listings), "raw")
-    valid = stamp(validate.validate(raw), scraped_at)
-    before = empty_products(spark) if stored is None else stored.select(*PRODUCT_COLUMNS)
-    fresh = materialize(new_products(valid, before), "fresh")
-    products = before.unionByName(fresh)
+    valid = materialize(stamp(validate.validate(raw), scraped_at), "valid")
+    if stored is None:
+        fresh = products = valid
+    else:
+        before = stored.select(*PRODUCT_COLUMNS)
+        fresh = new_products(valid, before)
+        products = before.unionByName(fresh)
     marks = listings.filter(~F.col("is_category")).select("url")
     audit = typing_.audit_types(listings.select("url", "category_path", "page_type"))
     if skip_details:

@@ -59,3 +59,15 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, max_bytes: int = BROADCA
     width = F.coalesce(F.octet_length(F.to_json(F.struct(*df.columns))), F.lit(0))
     seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return seen["n"] <= rows and seen["b"] <= max_bytes
+
+
+def narrow(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of a large table that can match ``keys`` (one column, shared by name).
+
+    A key set proven small is broadcast, so the table is filtered where it lies and only the matching rows
+    go on to a shuffle. A larger key set leaves the table as it is for the join that follows. ``keys`` should
+    be cheap to read, as the proof reads it once more.
+    """
+    (name,) = keys.columns
+    distinct = keys.distinct()
+    return df.join(F.broadcast(distinct), name, "left_semi") if is_small(distinct) else df

@@ -8,20 +8,24 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import apply_patches
 from ..operators.validate import first_wins
 from ..schemas import VISITED, product_ddl
-from ..session import materialize
+from ..session import materialize, narrow
 
 PATCH_DDL = "fingerprint string, new_description string, new_specifications map<string,string>, batch bigint"
 
 
 def new_products(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of ``batch`` whose fingerprint is not stored yet, the first of each; stored rows stay as they are."""
-    return first_wins(batch.join(stored.select("fingerprint"), "fingerprint", "left_anti"))
+    """Rows of ``batch`` whose fingerprint is not stored yet, the first of each; stored rows stay as they are.
+
+    A small batch against a large store costs one scan of the key column and no shuffle of it.
+    """
+    known = narrow(stored.select("fingerprint"), batch.select("fingerprint"))
+    return first_wins(batch.join(known, "fingerprint", "left_anti"))
 
 
 def insert_new(stored: DataFrame, batch: DataFrame) -> DataFrame:
@@ -110,9 +114,9 @@ class Store:
 
     def insert(self, batch_rows: DataFrame, batch: int) -> int:
         """Insert-if-absent; returns the number of new rows, counted by the write itself."""
-        counted = F.count(F.lit(1)).alias("n")
-        observed = _observation("inserted")
-        new = new_products(batch_rows, self.stored()).observe(observed, counted)
+        observed = Observation("inserted")
+        new = new_products(materialize(batch_rows, "batch"), self.stored())
+        new = new.observe(observed, F.count(F.lit(1)).alias("n"))
         self.append(new, batch)
         return observed.get["n"]
 
@@ -127,9 +131,3 @@ class Store:
         fresh.select(
             "url", F.lit("visited").alias("status"), F.lit(created_at).cast("timestamp").alias("created_at")
         ).write.mode("append").parquet(os.path.join(self.root, "visited"))
-
-
-def _observation(name: str):
-    from pyspark.sql import Observation
-
-    return Observation(name)

@@ -11,20 +11,23 @@ from shelfline.session import configure  # noqa: E402
 DATA = os.environ.get("SHELFLINE_DATA", "/root/testdata")
 
 
+# Columns can only be built with a session, and the test modules build some at import.
+SESSION = (
+    SparkSession.builder.master("local[8]")
+    .appName("shelfline-tests")
+    .config("spark.ui.enabled", "false")
+    .config("spark.driver.memory", "8g")
+    .config("spark.sql.shuffle.partitions", "8")
+    .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    .getOrCreate()
+)
+SESSION.sparkContext.setLogLevel("ERROR")
+
+
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("shelfline-tests")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    yield configure(session)
-    session.stop()
+    yield configure(SESSION)
+    SESSION.stop()
 
 
 @pytest.fixture
