@@ -18,7 +18,7 @@ TYPES = ("economy", "large", "medium", "promo", "small", "standard")
 RACK, DEAL, SHELF = 300, 6_000, 30_000
 FETCHED = "2024-05-01 00:00:00"
 
-NBSP, WIDE = " ", "　"
+NBSP, WIDE = "\u00a0", "\u3000"
 
 
 def _text(*pieces: Column | str) -> Column:

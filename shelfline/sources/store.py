@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,12 +79,12 @@ class Store:
         self.root = root
 
     def _read(self, name: str, ddl) -> DataFrame:
-        path = os.path.join(self.root, name)
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = fs_path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(fs_path):
+        try:
+            return self.spark.read.schema(ddl).parquet(os.path.join(self.root, name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(path)
 
     def stored(self) -> DataFrame:
         """Products as inserted, with their ``batch``."""
