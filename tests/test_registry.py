@@ -6,13 +6,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from shelfline.registry import oracles
+from shelfline.registry import queries as registered
 
 from .conftest import DATA
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-SQL = entry_module.oracle_sql()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -35,9 +37,9 @@ def _rows(columns, rows):
     return [columns[i] for i in order], sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_matches_sql(spark, duck, name):
-    got = entry_module.queries()[name](spark, f"{DATA}/sf0.001")
+    got = registered.queries()[name](spark, f"{DATA}/sf0.001")
     rows = [tuple(r) for r in got.collect()]
     assert rows
     want = duck.execute(SQL[name])
@@ -46,7 +48,9 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry_module.queries())
+    assert set(SQL) == set(registered.queries())
+    assert set(registered.queries()) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
