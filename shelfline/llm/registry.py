@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_dir
-from . import exact, packing, repair
-from .common import table
+from . import bands, exact, langid, packing, repair
+from .common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -26,12 +26,22 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bands.quality_bands(table(spark, sf_dir, "documents"))
+
+
 def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(scratch_dir(spark), f"tokens-{uuid.uuid4().hex}")
     repair.write(table(spark, sf_dir, "documents"), path, TOKENIZER)
     return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 #: DuckDB has no A-Z-only lower(); translate states it. Null counts as empty.
 NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -44,7 +54,7 @@ SQL = {
     """,
 }
 
-QUERIES = [op2_pack, op3_exact_dedup, op6_repair]
+QUERIES = [op2_pack, op3_exact_dedup, op4_compression_bands, op6_repair, op7_language]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
