@@ -7,16 +7,20 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_dir
-from . import bands, exact, langid, packing, repair
+from . import bands, exact, html_text, langid, mixing, packing, repair, toolcalls
 from .common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -30,6 +34,12 @@ def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bands.quality_bands(table(spark, sf_dir, "documents"))
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = toolcalls.from_conversations(table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame(toolcalls.REPLY, "name string, parameter string, type string, required boolean")
+    return toolcalls.link(calls, results, schemas)
+
+
 def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(scratch_dir(spark), f"tokens-{uuid.uuid4().hex}")
     repair.write(table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -42,9 +52,73 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+#: Target weights of the tree's nodes; all others count 1.
+WEIGHTS = [("d0", None, None, 4), ("d1", None, None, 3), ("d2", None, None, 2), *((d, "en", None, 3) for d in ("d0", "d1", "d2", "d3"))]
+
+
+def mixing_weights(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(WEIGHTS, "domain string, language string, origin string, weight bigint")
+
+
+def domain_of() -> Column:
+    """Sources fall into four domains by their number."""
+    return F.concat(F.lit("d"), (F.regexp_extract("source", "[0-9]+", 0).try_cast("int") % 4).cast("string"))
+
+
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing_weights(spark), domain_of())
+
+
 #: DuckDB has no A-Z-only lower(); translate states it. Null counts as empty.
 NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def share_sql(name: str, above: str, path: list[str]) -> str:
+    """Siblings filled to equal height per weight: the SQL of one level of the tree."""
+    group = f"PARTITION BY {', '.join(path[:-1])}" if path[:-1] else ""
+    keys = ", ".join(path)
+    blank = " AND ".join(f"w.{x} IS NULL" for x in mixing.TREE[len(path) :])
+    return f"""
+        {name}_height AS (
+            SELECT *, (pool - coalesce(sum(capacity) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS height
+            FROM (SELECT {', '.join(f'c.{x}' for x in path)}, c.capacity, c.pool, coalesce(w.weight, 1) AS weight
+                  FROM ({above}) c LEFT JOIN weights w ON {' AND '.join(f'w.{x} = c.{x}' for x in path)}{' AND ' + blank if blank else ''})
+            WHERE weight > 0
+            WINDOW o AS ({group} ORDER BY capacity / weight, {path[-1]})),
+        {name} AS (
+            SELECT {keys}, CASE WHEN capacity <= height * weight THEN capacity ELSE CAST(floor(weight * first_value(CASE WHEN capacity > height * weight THEN height END IGNORE NULLS)
+                   OVER ({group} ORDER BY capacity / weight, {path[-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS BIGINT) END AS budget
+            FROM {name}_height)"""
+
+
+def mixing_sql() -> str:
+    """The expected selection: budgets by level, then each leaf's prefix by a running sum over the whole leaf."""
+    epochs, share, seed = mixing.EPOCHS, mixing.SHARE, mixing.SEED
+    value = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+    weights = ", ".join(f"({', '.join(map(value, row))})" for row in WEIGHTS)
+    first, second, leaf = (mixing.TREE[: n + 1] for n in range(3))
+    level = lambda path, parent: f"SELECT {', '.join(path)}, sum(capacity) AS capacity, any_value(b.budget) AS pool FROM leaves JOIN {parent} b USING ({', '.join(path[:-1])}) GROUP BY {', '.join(path)}"
+    return f"""
+        WITH weights(domain, language, origin, weight) AS (VALUES {weights}),
+        rows AS (
+            SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+                   coalesce('d' || (TRY_CAST(regexp_extract(source, '[0-9]+') AS INTEGER) % 4), '{mixing.NONE}') AS domain,
+                   coalesce(lang, '{mixing.NONE}') AS language, coalesce(source, '{mixing.NONE}') AS origin
+            FROM documents),
+        leaves AS (SELECT {', '.join(leaf)}, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(sum(n_tokens) AS BIGINT) * {epochs} AS capacity FROM rows WHERE n_tokens > 0 GROUP BY {', '.join(leaf)}),
+        {share_sql('top', f"SELECT domain, sum(capacity) AS capacity, (SELECT floor(sum(tokens) * CAST({share} AS DOUBLE)) FROM leaves) AS pool FROM leaves GROUP BY domain", first)},
+        {share_sql('middle', level(second, 'top'), second)},
+        {share_sql('bottom', level(leaf, 'middle'), leaf)},
+        chosen AS (
+            SELECT r.*, CAST(floor(budget / tokens) AS BIGINT) AS passes, budget, tokens,
+                   md5('{seed}:' || CAST(floor(budget / tokens) AS BIGINT) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+            FROM rows r JOIN bottom USING ({', '.join(leaf)}) JOIN leaves USING ({', '.join(leaf)}) WHERE n_tokens > 0),
+        counted AS (
+            SELECT *, passes + CASE WHEN sum(n_tokens) OVER (PARTITION BY {', '.join(leaf)} ORDER BY place RANGE UNBOUNDED PRECEDING) <= budget - passes * tokens THEN 1 ELSE 0 END AS copies
+            FROM chosen)
+        SELECT doc_id, {', '.join(leaf)}, unnest(range(CAST(copies AS BIGINT))) AS epoch, n_tokens FROM counted"""
+
+
 SQL = {
     "op3_exact_dedup": f"""
         WITH rows AS (SELECT doc_id, {NORMALISED} AS content FROM documents)
@@ -52,9 +126,34 @@ SQL = {
                doc_id = max(doc_id) OVER same AS kept, sha256(content) AS text_sha256
         FROM rows WINDOW same AS (PARTITION BY content)
     """,
+    "op5_tool_calls": """
+        WITH RECURSIVE calls AS (
+            SELECT conv_id, turn, conv_id || '-' || turn AS call_id, min(text) AS text, count(*) AS copies,
+                   json_object('n_chars', coalesce(length(min(text)), 0), 'prompt', min(text)) AS arguments
+            FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
+        answers AS (
+            SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, min(text) AS content, count(*) AS copies
+            FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
+        depth AS (
+            SELECT c.conv_id, c.turn, c.call_id, 0 AS level FROM calls c
+            WHERE NOT EXISTS (FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+            UNION ALL
+            SELECT c.conv_id, c.turn, c.call_id, d.level + 1 FROM calls c JOIN depth d ON c.conv_id = d.conv_id AND c.turn = d.turn + 2)
+        SELECT coalesce(c.conv_id, a.conv_id) AS conv_id, coalesce(c.call_id, a.call_id) AS call_id, d.level AS level,
+               CASE WHEN c.call_id IS NULL THEN 'result without a call'
+                    WHEN c.turn >= 2 AND d.level = 0 THEN 'unknown call referred to'
+                    WHEN c.text IS NULL THEN 'wrong argument type'
+                    WHEN a.call_id IS NULL THEN 'no result' ELSE 'ok' END AS status,
+               coalesce(c.copies, a.copies) AS copies,
+               CAST(json_object('arguments', c.arguments, 'call_id', coalesce(c.call_id, a.call_id),
+                                'name', CASE WHEN c.call_id IS NOT NULL THEN 'reply' END, 'result', a.content) AS VARCHAR) AS record
+        FROM calls c FULL JOIN answers a ON c.conv_id = a.conv_id AND c.call_id = a.call_id
+        LEFT JOIN depth d ON d.call_id = c.call_id
+    """,
+    "op10_mix": mixing_sql(),
 }
 
-QUERIES = [op2_pack, op3_exact_dedup, op4_compression_bands, op6_repair, op7_language]
+QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_tool_calls, op6_repair, op7_language, op10_mix]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
