@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_dir
-from . import bands, exact, html_text, langid, minhash, mixing, packing, repair, toolcalls
+from . import bands, exact, html_text, langid, minhash, mixing, packing, repair, suffixes, toolcalls
 from .common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +56,11 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: Target weights of the tree's nodes; all others count 1.
 WEIGHTS = [("d0", None, None, 4), ("d1", None, None, 3), ("d2", None, None, 2), *((d, "en", None, 3) for d in ("d0", "d1", "d2", "d3"))]
 
@@ -157,7 +162,7 @@ SQL = {
     "op10_mix": mixing_sql(),
 }
 
-QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_tool_calls, op6_repair, op7_language, op8_minhash, op10_mix]
+QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_tool_calls, op6_repair, op7_language, op8_minhash, op9_suffixes, op10_mix]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
