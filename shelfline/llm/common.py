@@ -10,11 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import configure
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that an Arrow function works on at once, whatever the batch brought.
 SLICE_BYTES = 8 << 20
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings of the library, and shuffle files removed when the job that made them has ended.
+
+    Operators of several jobs write what later jobs need to the shared folder, so old shuffle files are dead weight.
+    """
+    configure(spark).conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

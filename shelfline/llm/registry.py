@@ -10,9 +10,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure, scratch_dir
+from ..session import scratch_dir
 from . import bands, exact, html_text, langid, minhash, mixing, packing, repair, suffixes, toolcalls
-from .common import held_out, table
+from .common import held_out, prepare, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -167,7 +167,7 @@ QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: query(configure(spark), sf_dir)
+        return lambda spark, sf_dir: query(prepare(spark), sf_dir)
 
     return {query.__name__: prepared(query) for query in QUERIES}
 
