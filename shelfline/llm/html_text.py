@@ -45,6 +45,8 @@ TOKEN = re.compile(
       | <[!?/][^>]*+>""",
     re.S | re.I | re.X,
 )
+OPEN = re.compile(r"<(?:!--|[a-z])", re.I)
+CLOSED = re.compile(r"-->\Z|</[a-z]++\s*+>\Z", re.I)
 NAMED = re.compile(r"""\b(?:class|id|role|data-keep)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
 WORD = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
 KEEP_MARK = "data-keep"
@@ -92,6 +94,9 @@ def blocks(html: str) -> list[Block]:
         if depth["a"]:
             linked += len(text.split())
 
+    # Behind the last ">" no tag can end; looking for one from each "<" there would take quadratic time.
+    end = html.rfind(">") + 1
+    html, tail = html[:end], html[end:].split("<!--")[0]
     at = 0
     for token in TOKEN.finditer(html):
         if token.start() > at:
@@ -99,6 +104,8 @@ def blocks(html: str) -> list[Block]:
         at = token.end()
         tag = (token["tag"] or token["tag2"] or "").lower()
         if not tag:
+            if at == end and OPEN.match(token[0]) and not CLOSED.search(token[0]):
+                tail = ""  # an unclosed comment or script takes the rest
             continue
         if tag in BLOCK_TAGS:
             close()
@@ -123,8 +130,7 @@ def blocks(html: str) -> list[Block]:
             change(name, was, mark, -1)
         stack.append((tag, furniture, marked))
         change(tag, furniture, marked, 1)
-    if at < len(html):
-        add(html[at:])
+    add(html[at:] + tail)
     close()
     return found
 

@@ -159,6 +159,21 @@ SQL = {
         FROM calls c FULL JOIN answers a ON c.conv_id = a.conv_id AND c.call_id = a.call_id
         LEFT JOIN depth d ON d.call_id = c.call_id
     """,
+    "op8_minhash": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex({NORMALISED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words),
+        shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(other) AS component_id, s.doc_id = min(other) AS kept
+        FROM sets s JOIN reach USING (doc_id) GROUP BY s.doc_id, len(s.s)
+    """,
     "op10_mix": mixing_sql(),
 }
 
