@@ -13,6 +13,10 @@ from .numbers import parse_float, parse_int
 from .text import blank_to_null, strip
 
 _END = "end-of-script"
+#: Largest document that a variant holds.
+VARIANT_BYTES = 128 << 20
+# The number words that JSON lacks but common writers emit.
+_BARE = r"([:\[,]\s*+)(NaN|-?Infinity)(?=\s*+[,}\]])"
 
 
 def node(value: Column, path: str) -> Column:
@@ -60,10 +64,8 @@ def may_hold(script: Column, word: str) -> Column:
     return F.contains(script, F.lit(word)) | F.contains(script, F.lit("\\u"))
 
 
-def document(script: Column) -> Column:
-    """The JSON document of a script; null when it is not exactly one.
-
-    The parser alone accepts text after the document. Closing the script into a two-element array with a
+def _strict(script: Column) -> Column:
+    """The parser alone accepts text after the document. Closing the script into a two-element array with a
     known last element leaves one reading.
     """
     wrapped = items(F.try_parse_json(F.concat(F.lit("["), script, F.lit(f', "{_END}"]'))))
@@ -72,6 +74,16 @@ def document(script: Column) -> Column:
     )
 
 
+def document(script: Column) -> Column:
+    """The JSON document of a script; null when it is not exactly one.
+
+    A script that does not parse but has bare ``NaN`` or ``Infinity`` between its signs is read again with them as
+    strings, which number rules turn back into the values.
+    """
+    quoted = F.regexp_replace(script, _BARE, '$1"$2"')
+    return F.coalesce(_strict(script), F.when(script.rlike(_BARE), _strict(quoted)))
+
+
 def blocks(script: Column) -> Column:
     """Top-level blocks of one script: the elements of an array, or the document itself."""
     return let(document(script), lambda top: F.coalesce(items(top), F.when(top.isNotNull(), F.array(top))))

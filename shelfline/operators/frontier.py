@@ -51,7 +51,11 @@ def with_links(celled: DataFrame) -> DataFrame:
 
 def absolute_link(href: Column, base: str) -> Column:
     """Root-relative links get the base, ``http`` links stay, all others are null; no trailing slash."""
-    href = strip(href)
+    base = base.rstrip("/")
+    return let(strip(href), lambda h: _absolute(h, base))
+
+
+def _absolute(href: Column, base: str) -> Column:
     return drop_slashes(
         F.when(F.startswith(href, F.lit("/")), F.concat(F.lit(base), drop_slashes(href))).when(
             F.startswith(href, F.lit("http")), href
@@ -71,20 +75,23 @@ def page_links(pages: DataFrame, base: str) -> DataFrame:
 
 def seed_frontier(seeds: DataFrame, base: str, limit: int | None = None) -> DataFrame:
     """Resolve seed paths ``(seed_ord, path)`` and keep the first ``limit`` (none or 0 keeps all)."""
-    kept = seeds.filter(F.col("seed_ord") < limit) if limit else seeds
+    kept = seeds.orderBy("seed_ord", "path").limit(limit) if limit else seeds
     resolved = settle(kept, "url", resolve_url(F.lit(base), F.col("path")))
     return resolved.select("seed_ord", "url", last_segment(F.col("url")).alias("category_name"))
 
 
 def path_prefix(category_url: Column, base: str) -> Column:
-    return drop_slashes(F.replace(category_url, F.lit(base), F.lit("")))
+    return drop_slashes(F.replace(category_url, F.lit(base.rstrip("/")), F.lit("")))
 
 
 def _children(links: Column, prefix: Column, base: str) -> Column:
     """Links one level below ``prefix``, in page order, as ``name, url``."""
+    base = base.rstrip("/")
 
     def child(link: Column) -> Column:
-        url = absolute_link(link["href"], base)
+        return let(absolute_link(link["href"], base), lambda url: below(link, url))
+
+    def below(link: Column, url: Column) -> Column:
         path = F.when(F.contains(url, F.lit(base)), F.replace(url, F.lit(base), F.lit("")))
         rest = F.when(
             F.startswith(path, F.concat(prefix, F.lit("/"))) & ~F.contains(path, F.lit("/product/")),

@@ -21,7 +21,7 @@ def first_per_address(products: DataFrame) -> DataFrame:
 
 
 def match_details(details: DataFrame, products: DataFrame) -> DataFrame:
-    """Details next to the stored product at their address, if any; both sides hold an address once."""
+    """Details next to the stored product at their address, if any; products hold an address once here."""
     near = narrow(products, details.select("product_url"))
     return details.join(first_per_address(near), "product_url", "left")
 
@@ -31,11 +31,12 @@ def patches(matched: DataFrame) -> DataFrame:
     wanted = F.col("stored_key").isNotNull() & (F.col("description") != "") & (
         F.col("stored_description").isNull() | (F.col("stored_description") == "")
     )
-    return matched.filter(wanted).select(
-        F.col("stored_key").alias("fingerprint"),
-        F.col("description").alias("new_description"),
-        F.col("specifications").alias("new_specifications"),
+    found = matched.filter(wanted).select(
+        F.col("stored_key").alias("fingerprint"), "ord", F.col("description").alias("new_description"), F.col("specifications").alias("new_specifications")
     )
+    # The earliest detail of a key; a key is patched once.
+    ranked = found.withColumn("_rank", F.row_number().over(Window.partitionBy("fingerprint").orderBy("ord")))
+    return ranked.filter("_rank = 1").select("fingerprint", "new_description", "new_specifications")
 
 
 def apply_patches(products: DataFrame, changes: DataFrame) -> DataFrame:

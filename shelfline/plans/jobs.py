@@ -15,8 +15,8 @@ from ..functions import jsonld, markup
 from ..operators import classify as typing_
 from ..operators import detail, frontier, listing, merge, validate
 from ..schemas import PRODUCT_TYPES
-from ..session import configure, is_small, materialize
-from ..sources.snapshots import failed_pages, ok_pages
+from ..session import configure, is_small, materialize, narrow
+from ..sources.snapshots import VERSION, failed_pages, newest, newest_readable, ok_pages, with_version
 from ..sources.store import Store, new_products
 
 PRODUCT_COLUMNS = [*PRODUCT_TYPES, "ord"]
@@ -40,15 +40,20 @@ class RunResult:
     failed: DataFrame
     audit: DataFrame
     """Page type met per listing, with the unexpected ones flagged."""
+    requests: DataFrame
+    """Model requests ``url, prompt`` for the detail pages of the run that no rule could read."""
+    script_rejects: DataFrame
+    """Scripts of readable pages that are not JSON: ``page_url, script_pos, bytes, reason``."""
 
 
-def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = True) -> DataFrame:
-    """One compact row per readable page: item-list scripts, product links, subcategories, detail record.
+def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = True, answers: DataFrame | None = None) -> DataFrame:
+    """One compact row per readable address: item-list scripts, product links, subcategories, detail record.
 
-    Narrow but for the seed flag, which is broadcast when the seed list is proven small; otherwise every
+    Of several snapshots of an address the newest counts, decided on the compact rows. ``answers(url, text)`` are model
+    answers for detail pages that no rule reads. Narrow up to there but for the seed flag, which is broadcast when the seed list is proven small; otherwise every
     page is searched for subcategories.
     """
-    ok = ok_pages(pages).select("url", "html")
+    ok = with_version(ok_pages(pages)).select("url", "html", *VERSION)
     urls = seeds.select("url", F.lit(True).alias("is_seed")).distinct()
     if is_small(urls):
         flagged, where = ok.join(F.broadcast(urls), "url", "left"), F.col("is_seed")
@@ -63,15 +68,21 @@ def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = Tr
     )
     facts = facts.withColumns({"scripts": kept, "page_type": page_type}).drop("all_scripts")
     facts = frontier.with_hit_cells(facts, base, where)
-    columns = ["url", "page_type", "scripts", "_prefix", "hits"]
+    columns = ["url", "page_type", "scripts", "_prefix", "hits", *VERSION]
     if details:
         facts = facts.withColumn("product_urls", F.when(F.size("scripts") > 0, frontier.product_links(F.col("scripts"))))
         facts = detail.read_page(facts)
         columns += ["product_urls", "record", "extracted_by"]
     facts = frontier.with_hits(facts.drop("html"), base)
     if details:
-        facts = detail.resolve_record(facts)
-    return facts.select(*columns)
+        facts = detail.resolve_record(facts, answers)
+    return newest_readable(facts.select(*columns), pages)
+
+
+def model_requests(pages: DataFrame, unread: DataFrame) -> DataFrame:
+    """Requests for the newest readable snapshots of the addresses ``unread(url)``."""
+    near = with_version(ok_pages(narrow(pages, unread))).join(unread, "url", "left_semi")
+    return detail.extract_requests(newest(near).select(F.col("url").alias("page_url"), "html", F.lit("").alias("category_path"), F.array().cast("array<bigint>").alias("ord")))
 
 
 def _place(phase: int, batch: int, *columns: str):
@@ -97,10 +108,11 @@ def listing_job(
     pages: DataFrame, front: DataFrame, scraped_at, stored: DataFrame | None = None, batch: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Status, extraction, validation and insert for a listing frontier: the new products and the raw ones."""
-    compact = listing.jsonld_scripts(ok_pages(pages).select("url", "html"), "ItemList")
-    raw = raw_listing_products(listings_read(front, compact, batch))
+    compact = listing.jsonld_scripts(with_version(ok_pages(pages)).select("url", "html", *VERSION), "ItemList")
+    raw = raw_listing_products(listings_read(front, newest_readable(compact, pages), batch))
     valid = stamp(validate.validate(raw), scraped_at)
-    return (valid if stored is None else new_products(valid, stored)), raw
+    # Written first: the insert reads it twice.
+    return (valid if stored is None else new_products(materialize(valid, "valid"), stored)), raw
 
 
 def detail_records(listings: DataFrame, facts: DataFrame, visited: DataFrame | None, batch: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -137,14 +149,16 @@ def full_run(
     limit: int | None = None,
     skip_details: bool = False,
     batch: int = 0,
+    answers: DataFrame | None = None,
 ) -> RunResult:
     """One run over a page snapshot: seeds ``(seed_ord, path)`` to the product table.
 
-    All listings go before all details, so a listing product wins over a detail-only record with its key.
+    All listings go before all details, so a listing product wins over a detail-only record with its key. ``answers(url,
+    text)`` are model answers to the ``requests`` of an earlier run.
     """
     configure(pages.sparkSession)
     start = frontier.seed_frontier(seeds, base, limit)
-    facts = materialize(page_facts(pages, start, base, details=not skip_details), "facts")
+    facts = materialize(page_facts(pages, start, base, details=not skip_details, answers=answers), "facts")
     front = materialize(frontier.listing_frontier_of(start, facts, visited), "frontier")
     listings = listings_read(front, facts, batch)
     raw = materialize(raw_listing_products(listings), "raw")
@@ -162,9 +176,11 @@ def full_run(
             "fingerprint", F.col("description").alias("new_description"), F.col("specifications").alias("new_specifications")
         )
         inserted, changes = fresh, none
+        unread = facts.select("url").limit(0)
     else:
         changes, added, reached = detail_job(products, listings, facts, scraped_at, visited, batch)
         inserted, marks = fresh.unionByName(added), marks.unionByName(reached)
+        unread = facts.filter("extracted_by = 'none'").select("url").join(reached.distinct(), "url", "left_semi")
         products = merge.apply_patches(products, changes).unionByName(added)
     return RunResult(
         products=products,
@@ -175,6 +191,8 @@ def full_run(
         marks=marks.distinct(),
         failed=failed_pages(pages),
         audit=audit,
+        requests=model_requests(pages, unread),
+        script_rejects=listing.script_rejects(pages.select(F.col("url").alias("page_url"), "html", "status").filter("status = 200").drop("status")),
     )
 
 

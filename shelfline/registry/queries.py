@@ -55,6 +55,11 @@ class Tables:
         pages = self.category_pages.unionByName(self.listing_pages).unionByName(self.detail_pages)
         return catalog.stamped(pages)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """The shop with repeated snapshots; results must be those of the newest."""
+        return catalog.with_history(self.shop)
+
     @cached_property
     def seeds(self) -> DataFrame:
         return frontier.seed_frontier(catalog.seeds(self.part), BASE)
@@ -105,21 +110,25 @@ def as_listings(pages: DataFrame) -> DataFrame:
 
 def flat(df: DataFrame, *extra: str) -> DataFrame:
     """Product columns as plain values: arrays joined by a bar."""
+    return df.select(*extra, *_flat_columns(df))
+
+
+def _flat_columns(df: DataFrame) -> list:
     keys = ["fingerprint"] if "fingerprint" in df.columns else []
-    return df.select(
-        *extra, *keys, "product_name", "brand", "sku", "category_path", "product_url", "price", "currency",
+    return [
+        *keys, "product_name", "brand", "sku", "category_path", "product_url", "price", "currency",
         "availability", "description", F.array_join("image_urls", "|").alias("images"), "rating", "review_count",
-    )
+    ]
 
 
 def _page_snapshot(t: Tables) -> DataFrame:
     addresses = t.part.select(F.col("p_partkey").alias("k")).select(catalog.product_address().alias("url"))
     wanted = t.seeds.select("url").unionByName(addresses.filter("url is not null").distinct())
-    return snapshots.snapshot(wanted, t.shop).select("url", F.col("status").cast("bigint").alias("status"))
+    return snapshots.snapshot(wanted, t.history).select("url", F.col("status").cast("bigint").alias("status"))
 
 
 def _page_status_split(t: Tables) -> DataFrame:
-    return snapshots.status_split(t.shop).withColumn("status", F.col("status").cast("bigint"))
+    return snapshots.status_split(t.history).withColumn("status", F.col("status").cast("bigint"))
 
 
 def _seed_frontier(t: Tables) -> DataFrame:
@@ -159,7 +168,7 @@ def _export_csv_rows(t: Tables) -> DataFrame:
 
 
 def _incremental_rerun(t: Tables) -> DataFrame:
-    pages, seeds = t.shop, catalog.seeds(t.part)
+    pages, seeds = t.history, catalog.seeds(t.part)
     first = jobs.full_run(pages, seeds, BASE, AT, limit=2, skip_details=True)
     visited = first.marks.select("url", F.lit("visited").alias("status"))
     second = jobs.full_run(pages, seeds, BASE, AT, first.products, visited, skip_details=True, batch=1)
@@ -376,9 +385,7 @@ def _extract_requests(t: Tables) -> DataFrame:
 def _extract_from_responses(t: Tables) -> DataFrame:
     answers = catalog.model_answers(t.part)
     found = detail.extract_detail(t.details, answers).filter("extracted_by = 'model'").select("record.*")
-    return flat(found.withColumn("specifications", F.to_json("specifications"))).join(
-        found.select("product_url", "unit_pack_size", F.to_json("specifications").alias("specifications")), "product_url"
-    )
+    return found.select(*_flat_columns(found), "unit_pack_size", F.to_json("specifications").alias("specifications"))
 
 
 def _validate_rejects(t: Tables) -> DataFrame:
@@ -437,8 +444,8 @@ def _merge_insert(t: Tables) -> DataFrame:
 
 
 def _listing_job(t: Tables) -> DataFrame:
-    pages = t.shop
-    front = frontier.listing_frontier(t.seeds, pages, BASE)
+    pages = t.history
+    front = frontier.listing_frontier(t.seeds, t.shop, BASE)
     new, _ = jobs.listing_job(pages, front, AT)
     return flat(new)
 
@@ -449,7 +456,7 @@ def _detail_job(t: Tables) -> DataFrame:
 
 
 def _full_run(t: Tables) -> DataFrame:
-    return flat(jobs.full_run(t.shop, catalog.seeds(t.part), BASE, AT).products)
+    return flat(jobs.full_run(t.history, catalog.seeds(t.part), BASE, AT).products)
 
 
 _QUERIES = [

@@ -1,11 +1,12 @@
-"""Page snapshot tables: one row per fetched address."""
+"""Page snapshot tables. An address may be fetched again and again; its newest snapshot counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PAGES
+from ..session import narrow
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -13,21 +14,62 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
 
 
+VERSION = ["fetched_at", "status", "body_hash"]
+
+
+def with_version(pages: DataFrame) -> DataFrame:
+    """Pages with the columns that tell snapshots of an address apart: fetch time (null if unknown), status, body hash."""
+    time = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None).cast("timestamp")
+    status = F.col("status") if "status" in pages.columns else F.lit(200)
+    body = F.xxhash64("html") if "html" in pages.columns else F.lit(0).cast("bigint")
+    return pages.withColumns({"fetched_at": time, "status": status, "body_hash": body})
+
+
+def newest(rows: DataFrame, address: str = "url") -> DataFrame:
+    """One row per address: the latest fetch (unknown times last), then the smallest status and body hash.
+
+    Meant for compact rows that carry ``VERSION``. Each task sends one row of an address, however often it repeats.
+    """
+    order = [F.col("fetched_at").desc_nulls_last(), F.col("status").asc_nulls_last(), F.col("body_hash")]
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(address).orderBy(*order)))
+    return ranked.filter("_rank = 1").drop("_rank", "body_hash")
+
+
+def newest_readable(compact: DataFrame, pages: DataFrame) -> DataFrame:
+    """The rows of ``compact`` (readable snapshots, one row each, with ``VERSION``) that are the newest of their address.
+
+    A later snapshot that failed takes its address out, as if the page had not been read.
+    """
+    failed = with_version(pages.select(*[c for c in ("url", "status", "fetched_at") if c in pages.columns])).filter(_failed())
+    kept = newest(compact.unionByName(failed.select("url", *VERSION), allowMissingColumns=True))
+    return kept.filter(~_failed()).drop("fetched_at", "status")
+
+
 def snapshot(frontier: DataFrame, pages: DataFrame) -> DataFrame:
     """Frontier rows with the status and body of their page; rows without a snapshot are left out."""
-    return frontier.join(pages.select("url", "status", "html"), "url")
+    near = narrow(pages, frontier.select("url"))
+    return frontier.join(newest(with_version(near)).select("url", "status", "html"), "url")
 
 
 def ok_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("status") == 200)
 
 
+def _failed():
+    return F.coalesce(F.col("status") != 200, F.lit(True))
+
+
+def _statuses(pages: DataFrame) -> DataFrame:
+    """Address and status of the newest snapshots; no body is read."""
+    return newest(with_version(pages.select(*[c for c in ("url", "status", "fetched_at") if c in pages.columns]))).select("url", "status")
+
+
 def failed_pages(pages: DataFrame) -> DataFrame:
-    """Audit of the other pages, without their body."""
-    return pages.filter(F.coalesce(F.col("status") != 200, F.lit(True))).select("url", "status")
+    """Audit of the addresses whose newest snapshot failed."""
+    return _statuses(pages).filter(_failed())
 
 
 def status_split(pages: DataFrame) -> DataFrame:
-    """``url, status, outcome`` for every page: read or skipped."""
+    """``url, status, outcome`` for every address: read or skipped."""
     ok = F.coalesce(F.col("status") == 200, F.lit(False))
-    return pages.select("url", "status", F.when(ok, "read").otherwise("skipped").alias("outcome"))
+    return _statuses(pages).select("url", "status", F.when(ok, "read").otherwise("skipped").alias("outcome"))

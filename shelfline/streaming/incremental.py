@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import validate
-from ..operators.listing import extract_listing
+from ..operators.listing import extract_scripts, jsonld_scripts
 from ..plans.jobs import stamp
 from ..schemas import PAGES
 from ..session import configure
-from ..sources.snapshots import ok_pages
+from ..sources.snapshots import VERSION, newest_readable, ok_pages, with_version
 from ..sources.store import Store
 
 
@@ -20,9 +20,10 @@ def batch_products(pages: DataFrame, scraped_at, batch: int, frontier: DataFrame
 
     ``frontier(url, category_path)`` labels the pages; without it the label stays empty.
     """
-    ok = ok_pages(pages).select("url", "html").withColumn("page_url", F.col("url"))
+    scripted = jsonld_scripts(with_version(ok_pages(pages)).select("url", "html", *VERSION), "ItemList")
+    ok = newest_readable(scripted, pages).withColumn("page_url", F.col("url"))
     place = F.array(F.lit(batch).cast("bigint"))
-    rows = extract_listing(ok.withColumns({"category_path": F.lit(""), "ord": place}))
+    rows = extract_scripts(ok.withColumns({"category_path": F.lit(""), "ord": place}))
     if frontier is not None:
         labels = frontier.select(F.col("url").alias("page_url"), F.col("category_path").alias("_label"))
         rows = rows.join(labels, "page_url", "left").withColumn("category_path", F.coalesce("_label", F.lit(""))).drop("_label")
