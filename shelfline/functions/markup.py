@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import let
 from .text import NODE_BREAK
 
 _IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -72,8 +73,8 @@ def attribute(tag: Column, name: str) -> Column:
     """Raw value of an attribute of a start tag; null without it, quotes of either kind or none."""
     skipped = rf"(?:[\s/]*+(?!{name}[\s=/>])[^\s\"'<>/=]++(?:\s*+=\s*+{_VALUE})?+)*+"
     quoted = F.regexp_extract(tag, rf"(?is)\A<[a-z][a-z0-9:-]*+{skipped}[\s/]*+{name}\s*+=\s*+({_VALUE})", 1)
-    value = F.when(quoted.rlike("\\A[\"']"), F.substring(quoted, F.lit(2), F.length(quoted) - 2)).otherwise(quoted)
-    return F.when(quoted != "", value)
+    bare = lambda q: F.when(q.rlike("\\A[\"']"), F.substring(q, F.lit(2), F.length(q) - 2)).otherwise(q)
+    return let(F.nullif(quoted, F.lit("")), bare)
 
 
 def text_nodes(content: Column) -> Column:

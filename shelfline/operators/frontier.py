@@ -351,8 +351,9 @@ def _pager_anchors(shown: Column) -> Column:
 
 def pagination_urls(pages: DataFrame) -> DataFrame:
     """``page_url, pos, url``: pager links with ``p=``, then any link with ``?p=`` or ``&p=``; distinct per page."""
-    shown = pages.select(F.col("url").alias("page_url"), markup.visible(F.col("html")).alias("_shown"))
-    candidates = shown.filter(F.contains("_shown", F.lit("p="))).select(
+    # The cheap test on the raw body goes first, so other pages are not stripped at all.
+    likely = pages.filter(F.contains("html", F.lit("p="))).select(F.col("url").alias("page_url"), "html")
+    candidates = settle(likely, "_shown", markup.visible(F.col("html"))).drop("html").select(
         "page_url",
         F.transform(_pager_anchors(F.col("_shown")), lambda a: markup.attribute(a, "href")).alias("_pager"),
         F.transform(
@@ -362,22 +363,20 @@ def pagination_urls(pages: DataFrame) -> DataFrame:
     split_at = candidates.withColumn("_n", F.size("_pager")).withColumn(
         "_cells", decode_entities(F.concat("_pager", "_all"))
     )
-    chosen = split_at.select(
-        "page_url",
-        F.posexplode_outer(
-            F.filter(
-                F.transform(
-                    "_cells",
-                    lambda h, i: F.when(
-                        F.when(i < F.col("_n"), F.contains(h, F.lit("p="))).otherwise(
-                            F.contains(h, F.lit("?p=")) | F.contains(h, F.lit("&p="))
-                        ),
-                        h,
-                    ),
+    hrefs = F.filter(
+        F.transform(
+            "_cells",
+            lambda h, i: F.when(
+                F.when(i < F.col("_n"), F.contains(h, F.lit("p="))).otherwise(
+                    F.contains(h, F.lit("?p=")) | F.contains(h, F.lit("&p="))
                 ),
-                lambda h: h.isNotNull(),
-            )
-        ).alias("pos", "href"),
-    ).filter(F.col("pos").isNotNull())
-    resolved = chosen.select("page_url", "pos", resolve_url(F.col("page_url"), F.col("href")).alias("url"))
-    return resolved.groupBy("page_url", "url").agg(F.min("pos").alias("pos"))
+                h,
+            ),
+        ),
+        lambda h: h.isNotNull(),
+    )
+    # A page is one row, so its links are made distinct inside it.
+    urls = settle(split_at, "_urls", F.transform(hrefs, lambda h: resolve_url(F.col("page_url"), h)))
+    placed = F.transform("_urls", lambda u, i: F.struct(i.alias("pos"), u.alias("url")))
+    first = F.filter(placed, lambda p: F.array_position(F.col("_urls"), p["url"]) == p["pos"] + 1)
+    return urls.select("page_url", F.explode(first).alias("p")).select("page_url", "p.pos", "p.url")

@@ -31,13 +31,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the cluster's own, or a new one when none is named."""
+    """Shared folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local master, where all tasks share a disk, may go without; anywhere else each executor would write to its own.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfline-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -54,7 +54,8 @@ def number_rows(products: DataFrame, *order: str) -> DataFrame:
     """
     order = order or ("ord",)
     spark = products.sparkSession
-    sorted_rows = products.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Written first: finding the ranges reads the rows once more.
+    sorted_rows = materialize(products, "unordered").repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(sorted_rows.withColumn("_at", F.monotonically_increasing_id()), "ordered")
     part, offset_in = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()

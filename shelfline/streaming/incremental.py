@@ -36,9 +36,9 @@ def batch_products(pages: DataFrame, scraped_at, batch: int, frontier: DataFrame
 
 def ingest(
     spark: SparkSession, source: str, store: Store, checkpoint: str, scraped_at, frontier: DataFrame | None = None,
-    first_batch: int = 0,
+    first_batch: int = 0, max_files: int = 1000,
 ) -> StreamingQuery:
-    """Read every page file not seen yet, insert what is new, then stop.
+    """Read every page file not seen yet, at most ``max_files`` to a batch, insert what is new, then stop.
 
     The checkpoint folder remembers the files; the insert drops fingerprints already stored, so a replayed
     batch adds nothing.
@@ -49,7 +49,7 @@ def ingest(
         batch = first_batch + epoch
         store.insert(batch_products(pages, scraped_at, batch, frontier), batch)
 
-    stream = spark.readStream.schema(PAGES).parquet(source)
+    stream = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files).parquet(source)
     return (
         stream.writeStream.foreachBatch(insert)
         .option("checkpointLocation", checkpoint)

@@ -197,3 +197,76 @@ def test_one_hot_address(spark):
     got = jobs.full_run(pages, seeds, BASE, AT)
     want = {("hot" if i % 3 == 0 else f"u{i}", "S" if i % 2 == 0 else str(i)): f"n{i}" for i in reversed(range(n))}
     assert {(r["product_url"], r["sku"]): r["product_name"] for r in got.products.collect()} == want
+
+
+def test_newest_snapshot_counts(spark, shop, full):
+    pages, seeds = shop
+    again = jobs.full_run(catalog.with_history(pages), seeds, BASE, AT)
+    assert table(again.products) == table(full.products)
+    assert again.stats.first() == full.stats.first()
+    assert sorted(map(tuple, again.failed.collect())) == sorted(map(tuple, full.failed.collect()))
+    twice = jobs.full_run(pages.unionByName(pages), seeds, BASE, AT)
+    assert table(twice.products) == table(full.products)
+    assert twice.stats.first() == full.stats.first()
+
+
+def test_newest_rule(spark):
+    at = "2024-01-0{} 00:00:00".format
+    rows = [("a", 200, "old", at(1)), ("a", 200, "new", at(2)), ("b", 200, "fine", at(1)), ("b", 500, None, at(2)), ("c", 404, None, at(1)), ("c", 200, "back", at(2)), ("d", 200, "x", None), ("d", 200, "y", at(1)), ("e", 500, None, at(1)), ("e", 200, "tie", at(1))]
+    pages = spark.createDataFrame(rows, "url string, status int, html string, fetched_at string").withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+    front = spark.createDataFrame([(x,) for x in "abcde"], "url string")
+    got = {r.url: (r.status, r.html) for r in snapshots.snapshot(front, pages).collect()}
+    assert got == {"a": (200, "new"), "b": (500, None), "c": (200, "back"), "d": (200, "y"), "e": (200, "tie")}
+    assert [r.url for r in snapshots.failed_pages(pages).collect()] == ["b"]
+
+
+def test_base_with_slash_and_gapped_seeds(spark, shop, full):
+    pages, seeds = shop
+    assert table(jobs.full_run(pages, seeds, BASE + "/", AT).products) == table(full.products)
+    gapped = spark.createDataFrame([(10, "/catalog/a"), (30, "/catalog/c"), (20, "/catalog/b")], "seed_ord int, path string")
+    assert sorted(r.seed_ord for r in frontier.seed_frontier(gapped, BASE, limit=2).collect()) == [10, 20]
+
+
+def test_model_answers_reach_the_run(spark, shop, full):
+    pages, seeds = shop
+    open_pages = {r.url for r in full.requests.collect()}
+    part = spark.read.parquet(f"{DATA}/sf0.001/part.parquet")
+    answered = jobs.full_run(pages, seeds, BASE, AT, answers=catalog.model_answers(part))
+    assert open_pages
+    assert {r.url for r in answered.requests.collect()} < open_pages
+    seen = [r for r in answered.products.collect() if (r.description or "").startswith("Seen ")]
+    assert seen
+    assert all(r.product_url in open_pages for r in seen)
+
+
+def test_scratch_folder_is_shared_or_an_error(spark, monkeypatch):
+    from shelfline import session
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master, named=None):
+            self.sparkContext, self.conf = Context(master), {"spark.checkpoint.dir": named} if named else {}
+
+    with pytest.raises(ValueError, match="share"):
+        session.scratch_dir(Session("spark://host:7077"))
+    assert session.scratch_dir(Session("yarn", "/shared/x")) == "/shared/x"
+    assert "shelfline-" in session.scratch_dir(Session("local[4]"))
+
+
+def test_exports_follow_ids(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("3000 - id AS id", *(f"cast(null AS {k}) AS {n}" for n, k in PRODUCT_TYPES.items() if n != "product_name"), "repeat('x', cast(id % 400 AS int)) || id AS product_name").repartition(7)
+    export.write_json(rows, str(tmp_path / "json"))
+    export.write_csv(rows, str(tmp_path / "csv"))
+    ids = [json.loads(line)["id"] for f in sorted(glob.glob(str(tmp_path / "json/part-*"))) for line in open(f)]
+    assert ids == sorted(ids)
+    names = [r["product_name"].lstrip("x") for f in sorted(glob.glob(str(tmp_path / "csv/part-*"))) for r in csv.DictReader(open(f))]
+    assert [int(n) for n in names] == sorted((int(n) for n in names), reverse=True)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions import jsonld
+from shelfline.operators.listing import extract_listing, script_rejects
 
 V = F.col("value")
 
@@ -112,3 +113,15 @@ def test_brand(cells, raw, want):
 
 def test_absent_brand(cells):
     assert _item(cells, "{}", lambda i: jsonld.brand(jsonld.node(i, "$.brand"))) is None
+
+
+def test_bare_number_words(spark):
+    page = """<script type="application/ld+json">{"@type":"ItemList","itemListElement":[
+      {"url":"/a","item":{"@type":"Product","name":"A, NaN, b","offers":{"price":NaN}}},
+      {"url":"/b","item":{"@type":"Product","name":"B","offers":{"price":-Infinity}}}]}</script>
+      <script type="application/ld+json">{"@type":"ItemList","name":"x: NaN, y"}</script>
+      <script type="application/ld+json">{"@type":"ItemList", oops}</script>"""
+    pages = spark.createDataFrame([("u", page)], "page_url string, html string")
+    rows = extract_listing(pages.withColumns({"category_path": F.lit(""), "ord": F.array(F.lit(0).cast("bigint"))})).orderBy("product_url").collect()
+    assert [(r.product_url, str(r.price)) for r in rows] == [("/a", "nan"), ("/b", "-inf")]
+    assert [(r.script_pos, r.reason) for r in script_rejects(pages).collect()] == [(2, "not JSON")]
