@@ -25,30 +25,32 @@ from .tokens import encoder
 
 END = 2
 #: Tokens of a shard, the vocabulary's size, the rounds of replacement and the count below which a pair stays.
-SHARD_TOKENS, BASE, ROUNDS, LEAST = 1 << 19, 49_408, 4, 16
-BUCKETS = 1 << 20
+SHARD_TOKENS, BASE, ROUNDS, LEAST = 1 << 19, 49_408, 3, 16
+BITS = 18
 
 
-def _frequent_pairs(key: np.ndarray, allowed: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rule of each position or -1, keys of the rules by falling count) for pairs found ``least`` times or more.
+def _frequent_pairs(key: np.ndarray, allowed: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positions of frequent pairs, their rules, keys of the rules by falling count) for pairs found ``least`` times or more.
 
     Counting goes through a table of hashed buckets. Each bucket stands for one of its pairs, whose exact count
     decides; a pair that shares a bucket with another may have to wait for a later round.
     """
-    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-    rough = np.bincount(bucket[allowed], minlength=BUCKETS)
-    at = np.flatnonzero(allowed & (rough[bucket] >= least))
-    owner = np.zeros(BUCKETS, dtype=np.uint64)
-    owner[bucket[at]] = key[at]
-    at = at[owner[bucket[at]] == key[at]]
-    exact = np.bincount(bucket[at], minlength=BUCKETS)
+    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
+    rough = np.bincount(bucket, minlength=1 << BITS)
+    at = np.flatnonzero((rough >= least)[bucket] & allowed)
+    keys, bucket = key[at], bucket[at]
+    owner = np.zeros(1 << BITS, dtype=np.uint64)
+    owner[bucket] = keys
+    own = owner[bucket] == keys
+    at, bucket = at[own], bucket[own]
+    exact = np.bincount(bucket, minlength=1 << BITS)
     chosen = np.flatnonzero(exact >= least)
     chosen = chosen[np.argsort(-exact[chosen], kind="stable")]
-    rank = np.full(BUCKETS, -1, dtype=np.int64)
+    rank = np.full(1 << BITS, -1, dtype=np.int32)
     rank[chosen] = np.arange(len(chosen))
-    rule = np.full(len(key), -1, dtype=np.int64)
-    rule[at] = rank[bucket[at]]
-    return rule, owner[chosen]
+    rule = rank[bucket]
+    hit = rule >= 0
+    return at[hit], rule[hit], owner[chosen]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE, rounds: int = ROUNDS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,13 +65,10 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE, rounds: int =
         allowed = np.ones(len(key), dtype=bool)
         inner = ends[(ends > 0) & (ends < len(symbols))]
         allowed[inner - 1] = False
-        rule, found = _frequent_pairs(key, allowed, least)
+        place, rank, found = _frequent_pairs(key, allowed, least)
         if not len(found):
             break
-        hit = rule >= 0
         # Of overlapping hits the more frequent pair goes first: a hit stays if none of its neighbours ranks higher.
-        place = np.flatnonzero(hit)
-        rank = rule[place]
         near = np.diff(place) == 1
         lost = np.zeros(len(place), dtype=bool)
         lost[1:] |= near & (rank[:-1] <= rank[1:])
@@ -135,7 +134,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
             ids_of = pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.concat_arrays(names))
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([first]), *cells, *ends, ids_of], names=[x.split()[0] for x in SHARD.split(", ")] + ["doc_ids"])
 
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text"):
             part = batch.column("part")[0].as_py()
             got, counts = encode(batch.column("text"))
             counts = counts + 1
@@ -143,13 +142,20 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
             inside = np.ones(len(flat), dtype=bool)
             inside[np.cumsum(counts) - 1] = False
             flat[inside] = got
-            names.append(batch.column("doc_id"))
-            ids.append(flat)
-            totals.append(counts)
-            if sum(map(len, ids)) >= shard_tokens:
-                yield close()
-                first, number = first + sum(map(len, ids)), number + 1
-                names, ids, totals = [], [], []
+            # A shard ends with the document that fills it.
+            ends = np.append(0, np.cumsum(counts))
+            at = 0
+            while at < len(counts):
+                room = shard_tokens - sum(map(len, ids))
+                stop = min(len(counts), int(np.searchsorted(ends, ends[at] + room)))
+                names.append(batch.column("doc_id").slice(at, stop - at))
+                ids.append(flat[ends[at] : ends[stop]])
+                totals.append(counts[at:stop])
+                at = stop
+                if sum(map(len, ids)) >= shard_tokens:
+                    yield close()
+                    first, number = first + sum(map(len, ids)), number + 1
+                    names, ids, totals = [], [], []
         if names:
             yield close()
 
