@@ -16,7 +16,8 @@ _END = "end-of-script"
 #: Largest document that a variant holds.
 VARIANT_BYTES = 128 << 20
 # The number words that JSON lacks but common writers emit.
-_BARE = r"([:\[,]\s*+)(NaN|-?Infinity)(?=\s*+[,}\]])"
+_BARE = r"(NaN|-?Infinity)"
+_STRINGS = r"""(?s)"(?:[^"\\]++|\\.)*+"|[^"]++|\""""
 
 
 def node(value: Column, path: str) -> Column:
@@ -77,10 +78,14 @@ def _strict(script: Column) -> Column:
 def document(script: Column) -> Column:
     """The JSON document of a script; null when it is not exactly one.
 
-    A script that does not parse but has bare ``NaN`` or ``Infinity`` between its signs is read again with them as
+    A script that does not parse but has bare ``NaN`` or ``Infinity`` outside its strings is read again with them as
     strings, which number rules turn back into the values.
     """
-    quoted = F.regexp_replace(script, _BARE, '$1"$2"')
+
+    def quote(part: Column) -> Column:
+        return F.when(F.startswith(part, F.lit('"')), part).otherwise(F.regexp_replace(part, _BARE, '"$1"'))
+
+    quoted = F.array_join(F.transform(F.regexp_extract_all(script, F.lit(_STRINGS), F.lit(0)), quote), "")
     return F.coalesce(_strict(script), F.when(script.rlike(_BARE), _strict(quoted)))
 
 
