@@ -313,6 +313,19 @@ _BODIES = {
     "detail_job": f"""SELECT {_DET.format(key='', path='category_path')} FROM drec WHERE url NOT IN (SELECT url FROM visits)""",
     "full_run": f"""SELECT {_PROD.format(descr='coalesce(patch.descr, prod.descr)')} FROM prod LEFT JOIN patch USING (fp)
         UNION ALL {_ADDED}""",
+    "full_run_with_answers": f"""SELECT * FROM (
+        WITH read AS (
+          SELECT * FROM drec UNION ALL
+          SELECT k, nm, url, 'model', 'Model ' || nm, 'm' || k, (k || '.25')::DOUBLE, 'InStock', 'Seen ' || k,
+                 '{IMAGES}/m/' || k || '.png', dfront.category_path
+          FROM dfront JOIN det USING (url) WHERE k % 12 IN (3, 7)),
+        changed AS (
+          SELECT f.fp, r.descr FROM read r JOIN first_addr f ON f.address = r.url
+          WHERE r.descr IS NOT NULL AND f.descr IS NULL),
+        fresh AS (SELECT * FROM read WHERE url NOT IN (SELECT address FROM first_addr))
+        SELECT {_PROD.format(descr='coalesce(changed.descr, prod.descr)')} FROM prod LEFT JOIN changed USING (fp)
+        UNION ALL SELECT {_DET.format(key=_KEY, path='category_path')} FROM fresh)""",
+    "script_rejects": """SELECT DISTINCT page_url, 0::BIGINT AS script_pos, 'not JSON' AS reason FROM placed WHERE kind < 2""",
 }
 
 

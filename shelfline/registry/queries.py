@@ -459,6 +459,16 @@ def _full_run(t: Tables) -> DataFrame:
     return flat(jobs.full_run(t.history, catalog.seeds(t.part), BASE, AT).products)
 
 
+def _full_run_with_answers(t: Tables) -> DataFrame:
+    answers = catalog.model_answers(t.part)
+    return flat(jobs.full_run(t.history, catalog.seeds(t.part), BASE, AT, answers=answers).products)
+
+
+def _script_rejects(t: Tables) -> DataFrame:
+    pages = t.listing_pages.select(F.col("url").alias("page_url"), "html")
+    return listing.script_rejects(pages).select("page_url", F.col("script_pos").cast("bigint").alias("script_pos"), "reason")
+
+
 _QUERIES = [
     _page_snapshot, _page_status_split, _seed_frontier, _insert_new_products, _unvisited_frontier, _products_ordered,
     _export_json_rows, _export_csv_rows, _incremental_rerun, _page_links, _subcategories, _subcategories_jsonld,
@@ -469,6 +479,7 @@ _QUERIES = [
     _extract_detail, _extract_requests, _extract_from_responses, _validate_rejects, _clean_text, _validate_products,
     _price_sanity, _dedup_first, _validation_stats, _validation_summary, _category_report, _field_coverage,
     _merge_enrich, _merge_insert, _listing_job, _detail_job, _full_run,
+    _full_run_with_answers, _script_rejects,
 ]
 
 
