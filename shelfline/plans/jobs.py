@@ -47,10 +47,9 @@ class RunResult:
 
 
 def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = True, answers: DataFrame | None = None) -> DataFrame:
-    """One compact row per readable address: item-list scripts, product links, subcategories, detail record.
+    """One compact row per readable snapshot: item-list scripts, product links, subcategories, detail record.
 
-    Of several snapshots of an address the newest counts, decided on the compact rows. ``answers(url, text)`` are model
-    answers for detail pages that no rule reads. Narrow up to there but for the seed flag, which is broadcast when the seed list is proven small; otherwise every
+    ``answers(url, text)`` are model answers for detail pages that no rule reads. Narrow but for the seed flag, which is broadcast when the seed list is proven small; otherwise every
     page is searched for subcategories.
     """
     ok = with_version(ok_pages(pages)).select("url", "html", *VERSION)
@@ -76,7 +75,7 @@ def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = Tr
     facts = frontier.with_hits(facts.drop("html"), base)
     if details:
         facts = detail.resolve_record(facts, answers)
-    return newest_readable(facts.select(*columns), pages)
+    return facts.select(*columns)
 
 
 def model_requests(pages: DataFrame, unread: DataFrame) -> DataFrame:
@@ -158,7 +157,9 @@ def full_run(
     """
     configure(pages.sparkSession)
     start = frontier.seed_frontier(seeds, base, limit)
-    facts = materialize(page_facts(pages, start, base, details=not skip_details, answers=answers), "facts")
+    read = materialize(page_facts(pages, start, base, details=not skip_details, answers=answers), "snapshots")
+    # Of several snapshots of an address the newest counts; only compact rows meet for that.
+    facts = materialize(newest_readable(read, pages), "facts")
     front = materialize(frontier.listing_frontier_of(start, facts, visited), "frontier")
     listings = listings_read(front, facts, batch)
     raw = materialize(raw_listing_products(listings), "raw")
