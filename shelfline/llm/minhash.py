@@ -1,18 +1,20 @@
 """Near-duplicate groups by MinHash signatures in an inverted join on their coordinates.
 
 The shingle hashes of a document are dealt over ``BINS`` bins by their leading bits, and the smallest of each bin is one
-coordinate of its signature (one-permutation MinHash). For two documents of resemblance J, the smallest shingle of a bin
-of their union is shared with probability J, independently of sizes. So of a signature with m coordinates, partners
-at 0.75 or more share at least ``least_matches(m)``, six standard deviations below the mean (a miss is rarer than 1e-8).
+coordinate of its signature (one-permutation MinHash). Bins are many, so a short document keeps nearly every shingle and
+a long one is bounded. How many coordinates a document shares with a partner at 0.75 or more is bounded from below by
+``needed`` (a miss is rarer than one in a million, at the very threshold).
 
 1. Documents with equal shingle sets become one node.
 2. Coordinates are ordered by how common they are (rare first; a sketch of fixed size, filled from all nodes, tells), and
-   each node posts only its first m - least_matches(m) + 1: two signatures with enough matches share one of those. Long
-   lists of common coordinates are thereby hardly posted to.
-3. Stars: each list has a centre (the node with the fewest rare coordinates). A node is compared with the centre it
+   each node posts only a prefix, so long that two signatures with enough matches share one of its entries. Long lists
+   of common coordinates are thereby hardly posted to.
+3. Stars: each list has a centre (the node with the fewest entries before it). A node is compared with the centre it
    collides with most often, on the full shingle sets, and the links give first components.
-4. Skip: lists whose nodes are all in one component are done. From the others, only pairs across components are counted,
-   kept above the match threshold of their signatures, and confirmed on the full shingle sets.
+4. Skip: lists whose nodes are all in one component are done. In the others, a pair across components is skipped when what
+   follows its places in both prefixes cannot hold enough matches. A short list gives its remaining pairs at once. A long
+   one is dealt out in blocks with the nodes' sets in few bits, and a task counts the common shingles of its pairs, so
+   that only pairs above the threshold leave it. Both kinds are confirmed on the full shingle sets.
 5. The links of both steps give the components.
 
 Pairs inside a component are never made, so a group of n near copies costs about n comparisons. Nodes are named by 64 bits
@@ -41,32 +43,46 @@ from .common import kind, parts, slices
 from .graph import components
 from .shingles import identity, shingle_sets
 
-BINS, SIMILARITY, DEVIATIONS = 64, 75, 6.0
+BINS, SIMILARITY, DEVIATIONS = 1 << 16, 75, 5.0
 SHIFT = np.uint64(64 - BINS.bit_length() + 1)
-#: Entries of the sketch of common coordinates: a fixed size, whatever the corpus.
-SKETCH = 1 << 20
-SLICE = 4 << 20
-
-
-def least_matches(m: int) -> int:
-    """Coordinates that a signature of m shares with any partner of the wanted similarity."""
+#: Nodes of a block, and the set size from which a mark has 32 bits, not 16.
+BLOCK, WIDE = 1024, 1024
+#: Entries up to which a list counts as short: then its pairs are at most half as many for each entry.
+SHORT = 32
+#: Entries of the table of common coordinates: a fixed size, whatever the corpus.
+ENTRIES = 1 << 22
+#: Repeats within tasks from which a coordinate counts as common.
+COMMON = 8
+SLICE = 1 << 20
+
+
+def needed(n: np.ndarray, m: np.ndarray, common: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Coordinates that a set of n shingles with m coordinates shares with a linked one, from below.
+
+    ``common``: shingles that both hold at least; ``other``: shingles of the partner that it lacks at most. A shingle that
+    the partner lacks takes away one match at most. A shingle only the partner has takes one away if it comes first in
+    a bin of this set, with a chance below m / BINS / 2 each. A full signature is bounded by sampling instead.
+    """
+    hit = other * m / (2 * BINS)
+    exact = m - (n - common) - (hit + (DEVIATIONS + 0.5) * np.sqrt(hit) + 3)
     j = SIMILARITY / 100
-    return max(1, math.ceil(j * m - DEVIATIONS * math.sqrt(j * (1 - j) * m)))
+    sampled = j * m - DEVIATIONS * np.sqrt(j * (1 - j) * m * (1 - j * m / np.maximum(n, 1)))
+    return np.maximum(1, np.ceil(np.maximum(exact, sampled)))
 
 
-LEAST = np.array([least_matches(m) for m in range(BINS + 1)])
+def needed_alone(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The same for a partner of unknown size: it holds 3/4 of this set, or lacks nothing and is 4/3 as large."""
+    return needed(n, m, np.ceil(n * SIMILARITY / 100), n * (100 / SIMILARITY - 1))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The smallest shingle of each bin that has one; its leading bits name the coordinate."""
-    return shingles[np.flatnonzero(np.diff(shingles >> SHIFT, prepend=np.uint64(BINS)))]
+    return shingles[np.flatnonzero(np.diff(shingles >> SHIFT, prepend=np.uint64(1 << 63)))]
 
 
-def sketch(coordinates: np.ndarray) -> bytes:
-    """Sixteen bits of each coordinate, 0 where a bin is empty: enough to count matches from above."""
-    out = np.zeros(BINS, dtype="<u2")
-    out[(coordinates >> SHIFT).astype(np.int64)] = (coordinates & np.uint64(0xFFFF)) | np.uint64(1)
-    return out.tobytes()
+def marks(shingles: np.ndarray) -> bytes:
+    """The set in few bits per shingle; common marks count common shingles from above."""
+    return (shingles & np.uint64(0xFFFFFFFF)).astype("<u4" if len(shingles) >= WIDE else "<u2").tobytes()
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -91,20 +107,19 @@ def members(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def nodes(docs: DataFrame, text: str) -> DataFrame:
-    """One row per distinct shingle set, stored in buckets by node: node, sig, sketch, text."""
+    """One row per distinct shingle set, stored in buckets by node: node, marks, text."""
     rows = docs.select(F.coalesce(text, F.lit("")).alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             sets = shingle_sets(batch.column("text"))
             real = [i for i, s in enumerate(sets) if len(s)]
-            signatures = [signature(sets[i]) for i in real]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([identity(sets[i]) for i in real], pa.int64()), pa.array([s.tobytes() for s in signatures], pa.binary()), pa.array([sketch(s) for s in signatures], pa.binary()), batch.column("text").take(pa.array(real, pa.int64()))],
-                names=["node", "sig", "sketch", "text"],
+                [pa.array([identity(sets[i]) for i in real], pa.int64()), pa.array([marks(sets[i]) for i in real], pa.binary()), batch.column("text").take(pa.array(real, pa.int64()))],
+                names=["node", "marks", "text"],
             )
 
-    found = rows.mapInArrow(read, "node bigint, sig binary, sketch binary, text string").dropDuplicates(["node"])
+    found = rows.mapInArrow(read, "node bigint, marks binary, text string").dropDuplicates(["node"])
     # Buckets let every later join by node leave the texts where they are.
     name = f"nodes_{uuid.uuid4().hex}"
     found.write.option("compression", "zstd").option("path", os.path.join(scratch_dir(docs.sparkSession), name)).bucketBy(parts(docs.sparkSession), "node").saveAsTable(name)
@@ -112,7 +127,7 @@ def nodes(docs: DataFrame, text: str) -> DataFrame:
 
 
 def common_coordinates(found: DataFrame) -> np.ndarray:
-    """Levels of ``SKETCH`` hashed entries: the logarithm of how often their coordinates repeat within tasks, 0 for rare."""
+    """Levels of ``ENTRIES`` hashed entries: the logarithm of how often their coordinates repeat within tasks, 0 for rare."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -123,41 +138,139 @@ def common_coordinates(found: DataFrame) -> np.ndarray:
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(entry(keys[again])), pa.array(n[again])], names=["entry", "n"])
 
-        for batch in batches:
-            held.append(np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype="<u8"))
+        for batch in slices(batches, "text", SLICE):
+            held += [signature(s) for s in shingle_sets(batch.column("text"))]
             if sum(map(len, held)) > 1 << 21:
                 yield flush()
         if held:
             yield flush()
 
-    repeated = found.select("sig").mapInArrow(count, "entry bigint, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
-    levels = np.zeros(SKETCH, dtype=np.uint8)
-    table = repeated.select("entry", F.floor(F.log2("n")).cast("int").alias("level")).toArrow()  # at most SKETCH rows
+    repeated = found.select("text").mapInArrow(count, "entry bigint, n bigint").groupBy("entry").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON)
+    levels = np.zeros(ENTRIES, dtype=np.uint8)
+    table = repeated.select(F.col("entry").cast("int").alias("entry"), F.floor(F.log2("n")).cast("byte").alias("level")).toArrow()  # at most ENTRIES rows
     levels[np.asarray(table["entry"])] = np.asarray(table["level"])
     return levels
 
 
 def entry(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - ENTRIES.bit_length() + 1)).astype(np.int64)
 
 
 def posts(found: DataFrame, levels: np.ndarray) -> DataFrame:
-    """The prefix of each signature: key (a coordinate and its value), node, rare (coordinates of level 0)."""
+    """The prefix of each signature: key (a coordinate and its value), node, and packed place in the prefix, sizes of signature and set."""
+    spark = found.sparkSession
+    shared = spark.sparkContext.broadcast(levels)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cells = batch.column("sig").to_pylist()
-            sizes = np.array([len(x) // 8 for x in cells], dtype=np.int64)
-            keys = np.frombuffer(b"".join(cells), dtype="<u8")
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            level = levels[entry(keys)]
-            order = np.lexsort((keys, level, owner))
-            rank = np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            first = order[rank < (sizes - LEAST[sizes] + 1)[owner]]
-            rare = np.bincount(owner, weights=level == 0, minlength=len(sizes)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), batch.column("node").take(pa.array(owner[first])), pa.array(rare[owner[first]])], names=["key", "node", "rare"])
+        level_of = shared.value
+        for batch in slices(batches, "text", SLICE):
+            sets = shingle_sets(batch.column("text"))
+            signatures = [signature(s) for s in sets]
+            sizes, m = (np.array([len(x) for x in xs], dtype=np.int64) for xs in (sets, signatures))
+            keys = np.concatenate(signatures) if signatures else np.zeros(0, dtype=np.uint64)
+            owner = np.repeat(np.arange(len(m)), m)
+            order = np.lexsort((keys, level_of[entry(keys)], owner))
+            place = np.arange(len(keys)) - np.repeat(np.cumsum(m) - m, m)
+            kept = place < (m - needed_alone(sizes, m) + 1)[owner]
+            first, place, owner = order[kept], place[kept], owner[kept]
+            # Place and sizes travel as one number, with the place in its leading bits.
+            packed = (place << 46) | (m[owner] << 29) | np.minimum(sizes[owner], (1 << 29) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), batch.column("node").take(pa.array(owner)), pa.array(packed)], names=["key", "node", "packed"])
+
+    return found.select("node", "text").mapInArrow(deal, "key bigint, node bigint, packed bigint")
+
+
+def may_match(n_a, m_a, at_a, n_b, m_b, at_b, ceil=np.ceil, sqrt=np.sqrt, least=np.minimum, most=np.maximum):
+    """Whether what follows a shared entry in both signatures can hold the matches of a linked pair (arrays or columns)."""
+    common = ceil(SIMILARITY * (n_a + n_b) / (100 + SIMILARITY))
+    rest = least(m_a - at_a, m_b - at_b)
+
+    def bound(n, m, other):
+        hit = most((other - common) * m, 0 * m) / (2 * BINS)
+        return m - (n - common) - (hit + (DEVIATIONS + 0.5) * sqrt(hit) + 3)
+
+    return (common <= n_a) & (common <= n_b) & (rest >= bound(n_a, m_a, n_b)) & (rest >= bound(n_b, m_b, n_a))
+
+
+def short_pairs(lists: DataFrame, open_lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components of the short lists that may match."""
+    rows = lists.join(open_lists.filter(F.col("entries") <= SHORT).select("key"), "key")
+    x, y = rows.alias("x"), rows.alias("y")
+    sizes = [F.col(f"{side}.{name}") for side in "xy" for name in ("n", "m", "place")]
+    fits = may_match(*sizes, ceil=F.ceil, sqrt=F.sqrt, least=F.least, most=F.greatest)
+    across = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & fits
+    return x.join(y, across).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _alike_in(block: dict[str, np.ndarray], cells: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs across components in one block pair of a list whose common marks reach the similarity."""
+    count, left, right = len(cells), [], []
+    comp, n, m, place, side, node = (block[x] for x in ("component", "n", "m", "place", "side", "node"))
+    if (comp == comp[0]).all():
+        return left, right
+    sets = [np.frombuffer(x, "<u4" if size >= WIDE else "<u2") & np.uint32(0xFFFF) for x, size in zip(cells, n.tolist(), strict=True)]
+    flag = np.zeros(1 << 16, dtype=np.int32)
+    crossing = block["low"][0] != block["high"][0]
+    for i in range(count - 1):
+        rest = slice(i + 1, None)
+        wanted = (comp[rest] != comp[i]) & may_match(n[i], m[i], place[i], n[rest], m[rest], place[rest])
+        if crossing:
+            wanted &= side[rest] != side[i]
+        found = np.flatnonzero(wanted) + i + 1
+        if not len(found):
+            continue
+        np.add.at(flag, sets[i], 1)
+        both = np.array([np.count_nonzero(flag[sets[j]]) for j in found.tolist()])
+        flag[sets[i]] = 0
+        # Marks that fall together make the count of common shingles at most too high.
+        good = found[(100 + SIMILARITY) * np.minimum(both, np.minimum(n[i], n[found])) >= SIMILARITY * (n[i] + n[found])]
+        left.append(np.full(len(good), node[i]))
+        right.append(node[good])
+    return left, right
+
+
+def long_pairs(lists: DataFrame, open_lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components of the long lists, counted inside tasks; a list of any length is dealt in blocks."""
+    rows = lists.join(open_lists.filter(F.col("entries") > SHORT).select("key", "entries"), "key").join(found.select("node", "marks"), "node")
+    blocks = F.ceil(F.col("entries") / BLOCK).cast("int")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
+    group = ["key", "low", "high"]
+    dealt = rows.select(*group, "node", "component", "side", "place", "m", "n", "marks").repartition(parts(lists.sparkSession), *group).sortWithinPartitions(*group)
+    names = [*group, "node", "component", "side", "place", "m", "n"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+
+        def done(table: pa.Table, until: int) -> pa.RecordBatch:
+            columns = {x: np.asarray(table[x])[:until].astype(np.int64) for x in names}
+            cells = table["marks"].slice(0, until).to_pylist()
+            edge = np.flatnonzero(np.any([np.diff(columns[x], prepend=columns[x][0] - 1 if x == "key" else columns[x][0]) != 0 for x in group], axis=0))
+            a, b = [], []
+            for start, stop in zip(edge.tolist(), [*edge[1:].tolist(), until], strict=True):
+                if stop - start > 1:
+                    left, right = _alike_in({x: v[start:stop] for x, v in columns.items()}, cells[start:stop])
+                    a += left
+                    b += right
+            none = np.zeros(0, dtype=np.int64)
+            x, y = np.concatenate([none, *a]), np.concatenate([none, *b])
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-    return found.select("node", "sig").mapInArrow(deal, "key bigint, node bigint, rare int")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fresh = pa.Table.from_batches([batch])
+            table = fresh if kept is None else pa.concat_tables([kept, fresh])
+            last = [table[x][-1].as_py() for x in group]
+            same = np.all([np.asarray(table[x]) == v for x, v in zip(group, last, strict=True)], axis=0)
+            until = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+            if until:
+                yield done(table, until)
+            kept = table.slice(until).combine_chunks()
+        if kept is not None and kept.num_rows:
+            yield done(kept, kept.num_rows)
+
+    return dealt.mapInArrow(count, "a bigint, b bigint")
 
 
 def confirmed(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -176,36 +289,21 @@ def confirmed(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return full.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint")
 
 
-def alike(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose signatures match in enough coordinates."""
-    part = lambda side: found.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}"))
-    full = pairs.select("a", "b").join(part("a"), "a").join(part("b"), "b")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(f"sketch_{side}").to_pylist()), dtype="<u2").reshape(-1, BINS) for side in "ab")
-            matches = ((left == right) & (left > 0)).sum(axis=1)
-            least = LEAST[np.maximum((left > 0).sum(axis=1), (right > 0).sum(axis=1))]
-            yield batch.select(["a", "b"]).filter(pa.array(matches >= least))
-
-    return full.select("a", "b", "sketch_a", "sketch_b").mapInArrow(count, "a bigint, b bigint")
-
-
 def links(found: DataFrame) -> DataFrame:
     """Links between nodes whose components are those of all links: a, b."""
     posted = posts(found, common_coordinates(found))
-    heads = posted.groupBy("key").agg(F.min_by("node", "rare").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = materialize(posted.select("key", "node").join(heads.select("key", "centre"), "key"), "lists")
-    counted = shared.filter("node <> centre").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("n"))
-    stars = counted.groupBy("node").agg(F.max_by("centre", "n").alias("b")).withColumnRenamed("node", "a")
+    heads = posted.groupBy("key").agg(F.min_by("node", "packed").alias("centre"), F.count(F.lit(1)).alias("entries")).filter("entries > 1")
+    shared = materialize(posted.join(heads.select("key", "centre"), "key"), "lists")
+    counted = shared.filter("node <> centre").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("hits"))
+    stars = counted.groupBy("node").agg(F.max_by("centre", "hits").alias("b")).withColumnRenamed("node", "a")
     first = materialize(confirmed(stars, found), "star-links")
-    named = shared.select("key", "node").join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = materialize(named, "named-lists")
-    open_lists = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    left = named.join(open_lists, "key")
-    right = left.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-    across = left.withColumnRenamed("node", "a").join(right, "key").filter("a < b AND component <> other").select("a", "b").distinct()
-    second = confirmed(alike(across, found), found)
+    named = shared.drop("centre").join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = [F.shiftright("packed", 46).alias("place"), F.shiftright("packed", 29).bitwiseAND(F.lit((1 << 17) - 1)).alias("m"), F.col("packed").bitwiseAND(F.lit((1 << 29) - 1)).alias("n")]
+    named = materialize(named.select("key", "node", "component", *sizes), "named-lists")
+    open_lists = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("entries")).filter("low <> high")
+    open_lists = materialize(open_lists, "open-lists")
+    pairs = short_pairs(named, open_lists).unionByName(long_pairs(named, open_lists, found)).distinct()
+    second = confirmed(materialize(pairs, "pairs"), found)
     return first.unionByName(materialize(second, "cross-links"))
 
 
