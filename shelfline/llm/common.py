@@ -14,7 +14,7 @@ from ..session import configure
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that an Arrow function works on at once, whatever the batch brought.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

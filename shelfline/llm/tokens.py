@@ -21,7 +21,7 @@ from .common import ragged
 WORDS = r"('s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+)"
 PLAIN = r"^[!-;=-~\x{A1}-\x{AC}\x{AE}-\x{12F}\x{131}-\x{17F}]*$"
 #: Chunks kept between batches; beyond, the store starts anew.
-KEPT = 2_000_000
+KEPT = 1_000_000
 
 
 class Encoder:
