@@ -24,65 +24,101 @@ from .common import binaries, kind, parts, ragged, slices
 from .tokens import encoder
 
 END = 2
-#: Tokens of a shard, the vocabulary's size, the rounds of replacement and the count below which a pair stays.
-SHARD_TOKENS, BASE, ROUNDS, LEAST = 1 << 19, 49_408, 3, 16
+#: Tokens of a shard, the vocabulary's size, and the count below which a pair stays.
+SHARD_TOKENS, BASE, LEAST = 1 << 19, 49_408, 16
+#: Bits of the largest table that counts pairs.
 BITS = 18
 
 
-def _frequent_pairs(key: np.ndarray, allowed: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent_pairs(key: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(positions of frequent pairs, their rules, keys of the rules by falling count) for pairs found ``least`` times or more.
 
-    Counting goes through a table of hashed buckets. Each bucket stands for one of its pairs, whose exact count
-    decides; a pair that shares a bucket with another may have to wait for a later round.
+    Counting goes through tables of hashed buckets. Each bucket stands for one of its pairs, which is counted exactly;
+    pairs that share a bucket with another, if the bucket has enough of both, go on to a table with another hash.
     """
-    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
-    rough = np.bincount(bucket, minlength=1 << BITS)
-    at = np.flatnonzero((rough >= least)[bucket] & allowed)
-    keys, bucket = key[at], bucket[at]
-    owner = np.zeros(1 << BITS, dtype=np.uint64)
-    owner[bucket] = keys
-    own = owner[bucket] == keys
-    at, bucket = at[own], bucket[own]
-    exact = np.bincount(bucket, minlength=1 << BITS)
-    chosen = np.flatnonzero(exact >= least)
-    chosen = chosen[np.argsort(-exact[chosen], kind="stable")]
-    rank = np.full(1 << BITS, -1, dtype=np.int32)
-    rank[chosen] = np.arange(len(chosen))
-    rule = rank[bucket]
-    hit = rule >= 0
-    return at[hit], rule[hit], owner[chosen]
-
-
-def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE, rounds: int = ROUNDS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, their ends per document, rules of shape n x 2). Symbol ``base + i`` stands for rule i."""
-    symbols, ends = ids.astype(np.uint32), ends.astype(np.int64)
+    at, left = np.arange(len(key)), key
+    rule_at = np.full(len(key), -1, dtype=np.int64)
+    keys, counts = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    made, factor = 0, 0x9E3779B97F4A7C15
+    while len(at):
+        bits = min(BITS, max(8, len(at).bit_length()))
+        bucket = ((left * np.uint64(factor)) >> np.uint64(64 - bits)).astype(np.int64)
+        enough = np.flatnonzero((np.bincount(bucket, minlength=1 << bits) >= least)[bucket])
+        at, left, bucket = at[enough], left[enough], bucket[enough]
+        owner = np.zeros(1 << bits, dtype=np.uint64)
+        owner[bucket] = left
+        own = owner[bucket] == left
+        mine = bucket[own]
+        exact = np.bincount(mine, minlength=1 << bits)
+        chosen = np.flatnonzero(exact >= least)
+        rule = np.full(1 << bits, -1, dtype=np.int64)
+        rule[chosen] = made + np.arange(len(chosen))
+        rule_at[at[own]] = rule[mine]
+        keys.append(owner[chosen])
+        counts.append(exact[chosen])
+        made += len(chosen)
+        at, left = at[~own], left[~own]
+        factor = factor * 0xD1342543DE82EF95 % (1 << 64)
+    order = np.argsort(-np.concatenate(counts), kind="stable")
+    rank = np.zeros(made, dtype=np.int64)
+    rank[order] = np.arange(made)
+    hit = np.flatnonzero(rule_at >= 0)
+    return hit, rank[rule_at[hit]], np.concatenate(keys)[order]
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE, rounds: int | None = None, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, their ends per document, rules of shape n x 2). Symbol ``base + i`` stands for rule i.
+
+    Rounds go on until no pair is found ``least`` times (or for ``rounds``). The symbols are a linked list. From the second
+    round on only pairs with a new symbol and those that were frequent before are counted, as no other count can have grown.
+    """
+    n, ends = len(ids), ends.astype(np.int64)
+    symbols = np.append(ids.astype(np.uint32), np.uint32(0))
+    # Neighbours inside a document; place n stands for none.
+    after, before = np.append(np.arange(1, n + 1), n), np.append(np.arange(-1, n - 1), n)
+    after[ends[ends > 0] - 1] = n
+    before[np.append(0, ends[ends < n])] = n
+    live = np.ones(n, dtype=bool)
     rules = [np.zeros((0, 2), dtype=np.uint32)]
     made = 0
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        key = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        allowed = np.ones(len(key), dtype=bool)
-        inner = ends[(ends > 0) & (ends < len(symbols))]
-        allowed[inner - 1] = False
-        place, rank, found = _frequent_pairs(key, allowed, least)
-        if not len(found):
-            break
+    counted = np.flatnonzero(after[:n] < n)
+    while rounds is None or rounds > 0:
+        rounds = None if rounds is None else rounds - 1
+        key = (symbols[counted].astype(np.uint64) << np.uint64(32)) | symbols[after[counted]]
+        # In a run of one symbol every second pair overlaps the one before it and does not count.
+        run = np.flatnonzero((key[1:] == key[:-1]) & (after[counted[:-1]] == counted[1:])) + 1
+        start = np.maximum.accumulate(np.where(np.diff(run, prepend=-1) > 1, run, 0))
+        odd = run[(run - start) % 2 == 0]
+        overlapping = counted[odd]
+        if len(odd):
+            counted, key = np.delete(counted, odd), np.delete(key, odd)
+        hit, rank, found = _frequent_pairs(key, least)
+        place = frequent = counted[hit]
         # Of overlapping hits the more frequent pair goes first: a hit stays if none of its neighbours ranks higher.
-        near = np.diff(place) == 1
+        near = after[place[:-1]] == place[1:]
         lost = np.zeros(len(place), dtype=bool)
-        lost[1:] |= near & (rank[:-1] <= rank[1:])
+        lost[1:] |= near & (rank[:-1] < rank[1:])
         lost[:-1] |= near & (rank[1:] < rank[:-1])
         place, rank = place[~lost], rank[~lost]
-        symbols = symbols.copy()
+        # A pair that keeps too few places waits; the most frequent one keeps all of its own, so each round gets on.
+        used = np.bincount(rank, minlength=len(found)) >= least
+        if not used.any():
+            break
+        place, rank = place[used[rank]], (np.cumsum(used) - 1)[rank[used[rank]]]
+        gone = after[place]
         symbols[place] = base + made + rank
-        stay = np.ones(len(symbols), dtype=bool)
-        stay[place + 1] = False
-        ends = np.concatenate([[0], np.cumsum(stay)])[ends]
-        symbols = symbols[stay]
+        live[gone] = False
+        after[place] = after[gone]
+        before[after[place]] = place
+        found = found[used]
         rules.append(np.stack([found >> np.uint64(32), found & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         made += len(found)
-    return symbols, ends, np.concatenate(rules)
+        again = np.zeros(n + 1, dtype=bool)
+        again[frequent] = again[overlapping] = again[place] = again[before[place]] = True
+        again[gone] = again[n] = False
+        counted = np.flatnonzero(again)
+        counted = counted[after[counted] < n]
+    return symbols[:n][live], np.concatenate([[0], np.cumsum(live)])[ends], np.concatenate(rules)
 
 
 def expansion_lengths(rules: np.ndarray, base: int = BASE) -> np.ndarray:
@@ -99,18 +135,30 @@ def expansion_lengths(rules: np.ndarray, base: int = BASE) -> np.ndarray:
     return lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE) -> np.ndarray:
-    """The ids that symbols stand for; each pass opens one level of rules."""
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that symbols stand for; each pass opens one level of the rules that are still closed.
+
+    ``lengths`` are the rules' expansion lengths, if they are at hand.
+    """
     symbols = symbols.astype(np.uint32)
-    while len(inner := np.flatnonzero(symbols >= base)):
-        sizes = np.ones(len(symbols), dtype=np.int64)
-        sizes[inner] = 2
-        out = np.repeat(symbols, sizes)
-        at = np.cumsum(sizes)[inner] - 2
-        pair = rules[symbols[inner] - base]
-        out[at], out[at + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+    closed = np.flatnonzero(symbols >= base)
+    if not len(closed):
+        return symbols
+    lengths = expansion_lengths(rules, base) if lengths is None else lengths
+    sizes = np.ones(len(symbols), dtype=np.int64)
+    sizes[closed] = lengths[symbols[closed] - base]
+    place = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), dtype=np.uint32)
+    out[place] = symbols
+    place = place[closed]
+    while len(place):
+        left, right = rules[out[place] - base].T
+        width = np.ones(len(place), dtype=np.int64)
+        inner = left >= base
+        width[inner] = lengths[left[inner] - base]
+        out[place], out[place + width] = left, right
+        place = np.concatenate([place[inner], (place + width)[right >= base]])
+    return out
 
 
 SHARD = "part int, shard int, first_token bigint, rules binary, rule_lengths binary, symbols binary, symbol_ends array<bigint>, token_ends array<bigint>"
@@ -178,7 +226,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 row = {name: batch.column(name)[i] for name in ("doc_ids", "symbol_ends", "token_ends")}
                 rules = np.frombuffer(batch.column("rules")[i].as_py(), dtype="<u4").reshape(-1, 2)
                 symbols = np.frombuffer(batch.column("symbols")[i].as_py(), dtype="<u4")
-                ids = expand(symbols, rules).astype("<u4")
+                ids = expand(symbols, rules, lengths=np.frombuffer(batch.column("rule_lengths")[i].as_py(), dtype="<u4")).astype("<u4")
                 counts = np.diff(np.asarray(row["token_ends"].values), prepend=0)
                 start = batch.column("first_token")[i].as_py() + np.cumsum(counts) - counts
                 yield pa.RecordBatch.from_arrays(
@@ -196,7 +244,7 @@ def document(stored_row: dict, index: int, base: int = BASE) -> np.ndarray:
     ends = stored_row["symbol_ends"]
     first = ends[index - 1] if index else 0
     symbols = np.frombuffer(stored_row["symbols"], dtype="<u4")[first : ends[index]]
-    return expand(symbols, rules, base)
+    return expand(symbols, rules, base, np.frombuffer(stored_row["rule_lengths"], dtype="<u4"))
 
 
 def token_at(stored_row: dict, position: int, base: int = BASE) -> int:

@@ -55,6 +55,41 @@ def test_grammar_shrinks_repeats():
     assert len(rules)
 
 
+def _often(symbols, ends):
+    """The most places, none overlapping, that one pair has inside documents."""
+    counts, first = {}, 0
+    for end in ends.tolist():
+        last = {}
+        for i in range(first, end - 1):
+            pair = (int(symbols[i]), int(symbols[i + 1]))
+            if last.get(pair) != i - 1:
+                counts[pair] = counts.get(pair, 0) + 1
+                last[pair] = i
+        first = end
+    return max(counts.values(), default=0)
+
+
+def test_grammar_leaves_no_frequent_pair():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 49_000, 300)
+    # More distinct pairs than buckets, between copies of a passage, and runs of one token.
+    documents = [x for _ in range(40) for x in (passage, rng.integers(0, 49_000, 9000), np.full(int(rng.integers(1, 90)), 7))]
+    flat, ends = np.concatenate(documents).astype(np.uint32), np.cumsum([len(d) for d in documents])
+    symbols, symbol_ends, rules = repair.compress(flat, ends)
+    assert repair.expand(symbols, rules).tolist() == flat.tolist()
+    assert _often(symbols, symbol_ends) < repair.LEAST
+    assert repair.expansion_lengths(rules).max() == 300
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=1, max_size=40), max_size=6), st.integers(2, 4))
+def test_grammar_leaves_no_frequent_pair_in_small_texts(documents, least):
+    flat, ends = np.array([x for d in documents for x in d], dtype=np.uint32), np.cumsum([len(d) for d in documents])
+    symbols, symbol_ends, rules = repair.compress(flat, ends, base=10, least=least)
+    assert repair.expand(symbols, rules, 10).tolist() == flat.tolist()
+    assert _often(symbols, symbol_ends) < least
+
+
 @given(st.lists(st.integers(1, 50), max_size=80))
 def test_first_fit_decreasing_against_a_scan(sizes):
     sizes = sorted(sizes, reverse=True)
