@@ -32,7 +32,6 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.words = Tokenizer.from_file(path)
         self.words.encode_special_tokens = True
         self.words.normalizer = None

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from shelfline.llm import bands, html_text, langid, minhash, packing, repair, shingles, suffixes
 from shelfline.llm.tokens import Encoder
@@ -33,6 +34,18 @@ def test_encoder_nulls_special_strings_and_a_full_store():
         assert (ids.tolist(), counts.tolist()) == ([i for x in want for i in x], [len(x) for x in want])
 
 
+def test_encoder_equals_an_untouched_library_on_special_strings():
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "hello", "x", " ", "\n", "\t", "\u00a0", "<", "日", "don't"]
+    rng = random.Random(4)
+    texts = ["hello <|endoftext|> world <|startoftext|>x", *("".join(rng.choices(parts, k=8)) for _ in range(300))]
+    ids, counts = ENCODER.encode(pa.array(texts))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [3306, 49407, 1002, 49406, 343]
+    assert counts.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 4), min_size=1, max_size=30), max_size=8))
 def test_grammar_round_trip(documents):
