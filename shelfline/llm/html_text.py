@@ -2,7 +2,8 @@
 
 A page is split at block-level tags into flat blocks. A block is described by its words and link density, those of its
 neighbours, and where it stands (inside an article, below an element whose tag or class names furniture, heading, list).
-A decision tree, trained here on the small labelled pages below, keeps or drops each block.
+A form or an element with a furniture name does not count as furniture if it wraps the page's main part (see ``_wraps``),
+and the names of html, body, main and article do not count. A decision tree, trained here on the small labelled pages below, keeps or drops each block.
 
 Defined cases: null and empty html give an empty text; so does a page without a kept block; unclosed elements end with
 the nearest enclosing end tag, unclosed comments and scripts at the end of the page; very long pages are read whole, in
@@ -30,8 +31,12 @@ BLOCK_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-FURNITURE_TAGS = frozenset("nav header footer aside form menu button select dialog fieldset".split())
+FURNITURE_TAGS = frozenset("nav header footer aside menu button select dialog fieldset".split())
 CONTENT_TAGS = frozenset(["article", "main"])
+#: Their names tell about the page or the article as a whole, not about a part of it.
+UNNAMED_TAGS = frozenset(["html", "body", "main", "article"])
+#: Furniture that may hold articles of its own, or more words than the main part.
+READER_WORDS = frozenset("comment comments reply replies discussion disqus related".split())
 FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
     "header masthead footer copyright sidebar aside related widget comment comments reply replies discussion disqus notice notices cookie cookies "
@@ -63,10 +68,36 @@ class Block(NamedTuple):
     marked: bool
 
 
+class Box:
+    """A form or an element with a furniture name: its blocks, and the articles (or mains) opened before, around and up to its end."""
+
+    def __init__(self, start: int, reader: bool, before: int, around: int):
+        self.start, self.reader, self.before, self.around = start, reader, before, around
+        self.stop = self.until = 0
+
+    def end(self, stop: int, until: int) -> None:
+        self.stop, self.until = stop, until
+
+
+def _wraps(box: Box, words: int, all_words: int, articles: int) -> bool:
+    """Whether a box holds the main part of its page.
+
+    It does if the first article lies in it, or most words do and no article stands beside it. A box for readers' comments
+    or related texts must hold nine tenths of the words instead.
+    """
+    if box.reader:
+        return 10 * words >= 9 * all_words
+    if box.before == 0 and box.until > 0:
+        return True
+    return 2 * words > all_words and box.before == box.around and box.until == articles
+
+
 def blocks(html: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool, bool, Box | None]] = []
+    boxes: list[Box] = []
+    articles = 0
     pieces: list[str] = []
     depth = {"a": 0, "content": 0, "furniture": 0, "heading": 0, "li": 0, "marked": 0}
     linked = 0
@@ -79,6 +110,13 @@ def blocks(html: str) -> list[Block]:
         depth["li"] += by * (tag in ("li", "dt", "dd", "td", "th", "option"))
         depth["marked"] += by * marked
 
+    def leave() -> str:
+        name, furniture, marked, box = stack.pop()
+        change(name, furniture, marked, -1)
+        if box:
+            box.end(len(found), articles)
+        return name
+
     def close() -> None:
         nonlocal linked
         if pieces:
@@ -113,25 +151,40 @@ def blocks(html: str) -> list[Block]:
             continue
         if token["end"] or token["end2"]:
             if any(name == tag for name, *_ in stack):
-                while stack:
-                    name, furniture, marked = stack.pop()
-                    change(name, furniture, marked, -1)
-                    if name == tag:
-                        break
+                while leave() != tag:
+                    pass
             continue
         rest = token["rest"] or token["rest2"] or ""
-        furniture = tag in FURNITURE_TAGS
-        if not furniture and "=" in rest:
-            names = " ".join(a or b or c for a, b, c in NAMED.findall(rest))
-            furniture = any(word.lower() in FURNITURE_WORDS for word in WORD.findall(names))
-        marked = KEEP_MARK in rest
         if tag in ("p", "li") and stack and stack[-1][0] == tag:  # an unclosed paragraph or item ends where the next begins
-            name, was, mark = stack.pop()
-            change(name, was, mark, -1)
-        stack.append((tag, furniture, marked))
+            leave()
+        furniture, box = tag in FURNITURE_TAGS, None
+        if not furniture and tag not in UNNAMED_TAGS:
+            names = " ".join(a or b or c for a, b, c in NAMED.findall(rest)) if "=" in rest else ""
+            named = FURNITURE_WORDS.intersection(word.lower() for word in WORD.findall(names))
+            if named or tag == "form":
+                box = Box(len(found), not named.isdisjoint(READER_WORDS), articles, depth["content"])
+                boxes.append(box)
+        marked = KEEP_MARK in rest
+        articles += tag in CONTENT_TAGS
+        stack.append((tag, furniture, marked, box))
         change(tag, furniture, marked, 1)
     add(html[at:] + tail)
     close()
+    while stack:
+        leave()
+    total = [0]
+    for block in found:
+        total.append(total[-1] + block.words)
+    inside = [0] * (len(found) + 1)
+    for box in boxes:
+        if not _wraps(box, total[box.stop] - total[box.start], total[-1], articles):
+            inside[box.start] += 1
+            inside[box.stop] -= 1
+    open_boxes = 0
+    for i, block in enumerate(found):
+        open_boxes += inside[i]
+        if open_boxes and not block.furniture:
+            found[i] = block._replace(furniture=True)
     return found
 
 
@@ -212,6 +265,8 @@ LABELLED = [
     f'<div>Menu</div><div><a href="/f">Read our latest story about the flood right now</a></div><article {_K}><h1>{_MIDDLE}</h1><p>{_MIDDLE}</p><p><a href="/s">A source for all of this</a></p><p>{_LONG}</p></article><div>Print</div>',
     f'<div>Skip to content</div><div {_K}><p>{_LONG}</p><p>{_MIDDLE}</p></div><div>Back to top</div><div class="footer">{_MIDDLE}</div>',
     f'<article {_K}><p><a href="/q">Read the first part of it</a></p><p>{_LONG}</p><p>Go.</p></article><ul>{_LINKS}</ul>',
+    f'<html class="has-nav"><body class="has-sidebar"><div id="page-header-fixed"><nav><ul>{_LINKS}</ul></nav><article class="post share-enabled" {_K}><h1>Ebb</h1><p>{_LONG}</p><p>{_MIDDLE}</p></article><div class="sidebar"><p>{_LONG}</p></div></div>{_TAIL}</body></html>',
+    f'<form action="/"><div class="header">{_MIDDLE}</div><div {_K}><h2>Salt</h2><p>{_LONG}</p><p>{_LONG}</p><p>{_MIDDLE}</p></div><div id="comments"><p>{_LONG}</p></div></form>',
     f'<ul>{_LINKS}</ul><p><a href="/l">Log in</a> | <a href="/r">Register now</a></p><div {_K}><p>{_LONG}</p><p>{_MIDDLE}</p></div><ul>{_LINKS}</ul>',
 ]
 

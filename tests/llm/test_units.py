@@ -209,6 +209,21 @@ def test_html_blocks_and_main_text():
         assert html_text.main_text(odd) in ("", "<", "<p", "<p class='")
 
 
+@pytest.mark.parametrize("page", [
+    '<body class="has-sidebar">{nav}{article}</body>', '<html class="no-touch nav-open"><body>{nav}{article}</body></html>',
+    '{nav}<article class="post share-enabled">{text}</article>', '<div id="page-header-fixed">{nav}{article}<p class="ad">{other}</p></div>',
+    '<form method="post">{nav}{article}</form>', '<form>{nav}<div>{text}</div></form>', '<main class="menu"><div class="widget">{text}</div></main>',
+    '<div class="page comments-open">{nav}{article}</div>', '{article}<section id="comments"><article><p>{other}</p></article></section>',
+    '{article}<div class="comments"><p>{other} {other} {other} {other} {other}</p></div>', '{article}<form><p>{other}</p></form>',
+    '<div class="cookie"><p>{other} {other} {other} {other} {other}</p></div>{article}',
+])
+def test_html_wrappers_are_not_furniture(page):
+    paragraph = "The miller kept his books in the old barn by the river, and nobody asked him why he did so."
+    text, other = f"<p>{paragraph}</p><p>{paragraph}</p>", "Nobody had asked for any of these words, but here they are for all to read."
+    nav = '<nav><a href="/">Home</a> <a href="/n">News</a></nav>'
+    assert html_text.main_text(page.format(nav=nav, text=text, other=other, article=f"<article>{text}</article>")) == f"{paragraph} {paragraph}"
+
+
 def test_html_tree_answers_its_own_table():
     tree = html_text.trained()
     for page in html_text.LABELLED:
