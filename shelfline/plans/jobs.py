@@ -99,8 +99,8 @@ def raw_listing_products(listings: DataFrame) -> DataFrame:
     return listing.extract_scripts(listings.select("page_url", "category_path", "ord", "scripts"))
 
 
-def stamp(products: DataFrame, scraped_at) -> DataFrame:
-    return products.withColumn("scraped_at", F.lit(scraped_at).cast("timestamp")).select(*PRODUCT_COLUMNS)
+def stamp(products: DataFrame, scraped_at, *more: str) -> DataFrame:
+    return products.withColumn("scraped_at", F.lit(scraped_at).cast("timestamp")).select(*PRODUCT_COLUMNS, *more)
 
 
 def listing_job(

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.merge import apply_patches
@@ -17,6 +17,7 @@ from ..operators.validate import first_wins
 from ..schemas import VISITED, product_ddl
 from ..session import materialize, narrow
 
+VERSION_DDL = "fetched_at timestamp, status int, body_hash bigint"
 PATCH_DDL = "fingerprint string, new_description string, new_specifications map<string,string>, batch bigint"
 
 
@@ -88,8 +89,34 @@ class Store:
             return self.spark.createDataFrame([], ddl)
 
     def stored(self) -> DataFrame:
-        """Products as inserted, with their ``batch``."""
-        return self._read("products", product_ddl() + ", batch bigint")
+        """Products as inserted, with their ``batch``, and those that the newest snapshots of the ingested pages list."""
+        inserted, listed = self._read("products", product_ddl() + ", batch bigint"), self.listed()
+        if listed is None:
+            return inserted
+        return inserted.unionByName(listed.join(inserted.select("fingerprint"), "fingerprint", "left_anti"))
+
+    def listed(self) -> DataFrame | None:
+        """Products of the ingested pages, or None without any.
+
+        Only the newest snapshot of an address counts, whichever batch brought it; a failed one takes its address out.
+        Of pages that list one product the address decides, as within a batch, so the way into batches changes nothing.
+        """
+        versions = self._read("snapshots", f"url string, {VERSION_DDL}")
+        if not versions.inputFiles():
+            return None
+        order = [F.col("fetched_at").desc_nulls_last(), F.col("status").asc_nulls_last(), F.col("body_hash")]
+        newest = versions.withColumn("_rank", F.row_number().over(Window.partitionBy("url").orderBy(*order))).filter("_rank = 1 and status = 200")
+        rows, top = self._read("listed", f"{product_ddl()}, batch bigint, page_url string, {VERSION_DDL}").alias("r"), newest.alias("v")
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"v.{c}")) for c in ("fetched_at", "status", "body_hash")]
+        current = rows.join(top, [F.col("r.page_url") == F.col("v.url"), *same], "left_semi").drop("page_url", "fetched_at", "status", "body_hash")
+        first = Window.partitionBy("fingerprint").orderBy(F.slice("ord", 2, 8), "ord")
+        return current.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+
+    def list_pages(self, rows: DataFrame, versions: DataFrame, batch: int) -> None:
+        """Append the products of a batch of pages and the newest version of each page; rows first, as they count only with it."""
+        numbered = rows.withColumn("batch", F.lit(batch).cast("bigint"))
+        numbered.write.mode("append").parquet(os.path.join(self.root, "listed"))
+        versions.write.mode("append").parquet(os.path.join(self.root, "snapshots"))
 
     def patches(self) -> DataFrame:
         return self._read("patches", PATCH_DDL)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,16 +10,12 @@ from ..operators import validate
 from ..operators.listing import extract_scripts, jsonld_scripts
 from ..plans.jobs import stamp
 from ..schemas import PAGES
-from ..session import configure
+from ..session import configure, materialize
 from ..sources.snapshots import VERSION, newest_readable, ok_pages, with_version
 from ..sources.store import Store
 
 
-def batch_products(pages: DataFrame, scraped_at, batch: int, frontier: DataFrame | None = None) -> DataFrame:
-    """Valid products of one batch of pages, ordered by batch, page address and place on the page.
-
-    ``frontier(url, category_path)`` labels the pages; without it the label stays empty.
-    """
+def _raw(pages: DataFrame, batch: int, frontier: DataFrame | None) -> DataFrame:
     scripted = jsonld_scripts(with_version(ok_pages(pages)).select("url", "html", *VERSION), "ItemList")
     ok = newest_readable(scripted, pages).withColumn("page_url", F.col("url"))
     place = F.array(F.lit(batch).cast("bigint"))
@@ -28,26 +24,50 @@ def batch_products(pages: DataFrame, scraped_at, batch: int, frontier: DataFrame
         labels = frontier.select(F.col("url").alias("page_url"), F.col("category_path").alias("_label"))
         rows = rows.join(labels, "page_url", "left").withColumn("category_path", F.coalesce("_label", F.lit(""))).drop("_label")
     # Pages of a batch have no crawl order: their address breaks ties, by a stable 64-bit hash.
-    rows = rows.withColumn(
+    return rows.withColumn(
         "ord", F.concat(F.slice("ord", 1, 1), F.array(F.xxhash64("page_url")), F.slice("ord", 2, 3))
     )
-    return stamp(validate.validate(rows), scraped_at)
+
+
+def batch_products(pages: DataFrame, scraped_at, batch: int, frontier: DataFrame | None = None) -> DataFrame:
+    """Valid products of one batch of pages, ordered by batch, page address and place on the page.
+
+    ``frontier(url, category_path)`` labels the pages; without it the label stays empty.
+    """
+    return stamp(validate.validate(_raw(pages, batch, frontier)), scraped_at)
+
+
+def page_versions(pages: DataFrame) -> DataFrame:
+    """``url`` with the fetch time, status and body hash of its newest snapshot in ``pages``."""
+    rows = with_version(pages).select("url", *VERSION)
+    order = [F.col("fetched_at").desc_nulls_last(), F.col("status").asc_nulls_last(), F.col("body_hash")]
+    return rows.withColumn("_rank", F.row_number().over(Window.partitionBy("url").orderBy(*order))).filter("_rank = 1").drop("_rank")
+
+
+def page_products(pages: DataFrame, versions: DataFrame, scraped_at, batch: int, frontier: DataFrame | None = None) -> DataFrame:
+    """As ``batch_products``, but the first of each product on each page, with the page's address and version."""
+    kept = validate.tag(_raw(pages, batch, frontier)).filter(F.col("drop_reason").isNull()).drop("drop_reason")
+    first = Window.partitionBy("page_url", "fingerprint").orderBy("ord")
+    kept = kept.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+    stamped = stamp(validate.normalize(kept), scraped_at, "page_url")
+    return stamped.join(versions.withColumnRenamed("url", "page_url"), "page_url")
 
 
 def ingest(
     spark: SparkSession, source: str, store: Store, checkpoint: str, scraped_at, frontier: DataFrame | None = None,
     first_batch: int = 0, max_files: int = 1000,
 ) -> StreamingQuery:
-    """Read every page file not seen yet, at most ``max_files`` to a batch, insert what is new, then stop.
+    """Read every page file not seen yet, at most ``max_files`` to a batch, keep the products of the newest snapshots, then stop.
 
-    The checkpoint folder remembers the files; the insert drops fingerprints already stored, so a replayed
-    batch adds nothing.
+    The checkpoint folder remembers the files. The store keeps the products of each page with its version and reads
+    those of the newest version of an address, so the order and size of batches change nothing and a replay adds nothing.
     """
     configure(spark)
 
     def insert(pages: DataFrame, epoch: int) -> None:
         batch = first_batch + epoch
-        store.insert(batch_products(pages, scraped_at, batch, frontier), batch)
+        versions = materialize(page_versions(pages), "versions")
+        store.list_pages(page_products(pages, versions, scraped_at, batch, frontier), versions, batch)
 
     stream = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files).parquet(source)
     return (

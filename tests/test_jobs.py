@@ -1,8 +1,10 @@
 """Whole runs, stored tables, exports and the incremental stream, on the sample shop."""
 
 import csv
+import datetime
 import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import frontier
 from shelfline.plans import jobs
 from shelfline.samples import catalog
-from shelfline.schemas import PRODUCT_TYPES
+from shelfline.schemas import PAGES, PRODUCT_TYPES
 from shelfline.session import is_small, narrow
 from shelfline.sources import export, snapshots, store
 from shelfline.streaming import incremental
@@ -170,6 +172,39 @@ def test_stream_replays_add_nothing(spark, shop, tmp_path):
     assert kept.products().count() == total
 
 
+def test_stream_batches_change_nothing(spark, tmp_path):
+    """One file to a batch, older and newer snapshots in either order, equals all in one batch."""
+    def page(*items):
+        listed = ",".join(f'{{"@type":"ListItem","url":"/p/{k}","item":{{"@type":"Product","name":"Product {k}","offers":{{"price":"{price}"}}}}}}' for k, price in items)
+        return f'<script type="application/ld+json">{{"@type":"ItemList","itemListElement":[{listed}]}}</script>'
+
+    day = [datetime.datetime(2024, 1, d) for d in range(1, 4)]
+    rows = [
+        ("/a", 200, page(("a", 1), ("c", 5)), day[0]), ("/a", 200, page(("a", 2)), day[1]),  # newer later: c leaves this page
+        ("/b", 200, page(("b", 4)), day[2]), ("/b", 200, page(("b", 3)), day[0]),  # newer first
+        ("/c", 200, page(("c", 6), ("a", 9)), day[0]),  # takes over c
+        ("/d", 200, page(("d", 7)), day[0]), ("/d", 500, "", day[1]),  # the latest fetch failed
+        ("/e", 200, page(("e", 8)), day[0]), ("/e", 200, "<p>nothing</p>", day[1]),  # lists nothing any more
+    ]
+    files = [[r for r in rows if r[3] == d] for d in day]
+    for order, name in ((files, "up"), (files[::-1], "down")):
+        source = str(tmp_path / name)
+        for k, part in enumerate(order):
+            spark.createDataFrame(part, PAGES).coalesce(1).write.mode("append").parquet(source)
+            for f in glob.glob(f"{source}/*.parquet"):
+                if os.path.getmtime(f) > 10_000:
+                    os.utime(f, (1000 + k, 1000 + k))
+        got = []
+        for size in (1, 1000):
+            kept = store.Store(spark, str(tmp_path / f"{name}{size}"))
+            incremental.ingest(spark, source, kept, str(tmp_path / f"cp{name}{size}"), AT, max_files=size).awaitTermination()
+            assert (kept._read("listed", "batch bigint").distinct().count() > 1) == (size == 1)
+            got.append({r["product_name"]: r["price"] for r in kept.products().collect()})
+        assert got[0] == got[1]
+        assert set(got[0]) == {"Product a", "Product b", "Product c"}
+        assert (got[0]["Product b"], got[0]["Product c"]) == (4.0, 6.0)
+
+
 def test_stream_labels(spark, shop):
     pages, seeds = shop
     front = frontier.listing_frontier(frontier.seed_frontier(seeds, BASE), pages, BASE).select("url", "category_path")
