@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bands, exact, html_text, langid, minhash, mixing, packing, repair, suffixes, toolcalls
+from . import bands, decontaminate, exact, html_text, langid, minhash, mixing, packing, repair, suffixes, toolcalls
 from .common import held_out, prepare, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -78,9 +78,18 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mixing_weights(spark), domain_of())
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.sha2(F.concat_ws(",", F.array_sort("item_ids")), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), names.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 #: DuckDB has no A-Z-only lower(); translate states it. Null counts as empty.
 NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+WORDS_12 = f"regexp_extract_all({NORMALISED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
 def share_sql(name: str, above: str, path: list[str]) -> str:
     """Siblings filled to equal height per weight: the SQL of one level of the tree."""
     group = f"PARTITION BY {', '.join(path[:-1])}" if path[:-1] else ""
@@ -175,9 +184,25 @@ SQL = {
         FROM sets s JOIN reach USING (doc_id) GROUP BY s.doc_id, len(s.s)
     """,
     "op10_mix": mixing_sql(),
+    "op12_decontaminate": f"""
+        WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, {WORDS_12} AS w FROM documents),
+        items AS (SELECT item_id, {WORDS_12} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS x
+            FROM (SELECT *, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+        places AS (
+            SELECT row_no, k, i, array_to_string(w[i:i + k - 1], ' ') AS x
+            FROM (SELECT row_no, w, k, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS i FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+        met AS (SELECT row_no, p.k, i, item_id FROM places p JOIN windows v ON p.x = v.x AND p.k = v.k),
+        hits AS (SELECT row_no, count(DISTINCT j) AS n_hit FROM (SELECT row_no, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT row_no, k, i FROM met)) GROUP BY row_no),
+        named AS (SELECT row_no, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT row_no, CAST(item_id AS VARCHAR) AS name FROM met WHERE item_id IS NOT NULL) GROUP BY row_no)
+        SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (row_no) LEFT JOIN named USING (row_no)
+    """,
 }
 
-QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_tool_calls, op6_repair, op7_language, op8_minhash, op9_suffixes, op10_mix]
+QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_tool_calls, op6_repair, op7_language, op8_minhash, op9_suffixes, op10_mix, op12_decontaminate]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
