@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bands, decontaminate, exact, html_text, langid, minhash, mixing, packing, repair, suffixes, toolcalls
+from . import bands, decontaminate, exact, html_text, langid, minhash, mixing, packing, pivots, repair, suffixes, toolcalls, whitening
 from .common import held_out, prepare, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -78,12 +78,22 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mixing_weights(spark), domain_of())
 
 
+def op11_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = pivots.compress(table(spark, sf_dir, "embeddings"))
+    final = pivots.book_hash(books)
+    return coded.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(final).alias("codebooks_sha256"))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.sha2(F.concat_ws(",", F.array_sort("item_ids")), 256)
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), names.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 #: DuckDB has no A-Z-only lower(); translate states it. Null counts as empty.
 NORMALISED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -137,6 +147,13 @@ def mixing_sql() -> str:
         SELECT doc_id, {', '.join(leaf)}, unnest(range(CAST(copies AS BIGINT))) AS epoch, n_tokens FROM counted"""
 
 
+def lloyd_assign(n: int) -> str:
+    """The entry nearest to each part (table near<n>) under the codebook of a round; of equal distances the first."""
+    return f"""near{n} AS (
+            SELECT r, part, arg_min(entry, d * {pivots.ENTRIES} + entry) AS entry, min(d) AS d
+            FROM (SELECT r, part, entry, sum((x.v - b.v) * (x.v - b.v)) AS d FROM x JOIN book{n} b USING (part, pos) GROUP BY r, part, entry) GROUP BY r, part)"""
+
+
 SQL = {
     "op3_exact_dedup": f"""
         WITH rows AS (SELECT doc_id, {NORMALISED} AS content FROM documents)
@@ -184,6 +201,24 @@ SQL = {
         FROM sets s JOIN reach USING (doc_id) GROUP BY s.doc_id, len(s.s)
     """,
     "op10_mix": mixing_sql(),
+    "op11_pivots": f"""
+        WITH rows AS (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, * FROM embeddings
+            WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        x AS (SELECT r, (i - 1) // (n // {pivots.PARTS}) AS part, (i - 1) % (n // {pivots.PARTS}) AS pos, CAST(floor({pivots.SCALE} * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS v
+              FROM (SELECT *, len(embedding) AS n, unnest(range(1, len(embedding) + 1)) AS i FROM rows)),
+        book0 AS (SELECT part, r - 1 AS entry, pos, v FROM x WHERE r <= {pivots.ENTRIES}),
+        {', '.join(f"""{lloyd_assign(n)},
+        book{n + 1} AS (
+            SELECT part, entry, pos, coalesce(mean, b.v) AS v
+            FROM book{n} b LEFT JOIN (SELECT part, entry, pos, CAST(floor(sum(v) / count(*)) AS BIGINT) AS mean FROM near{n} JOIN x USING (r, part) GROUP BY ALL) USING (part, entry, pos))"""
+            for n in range(pivots.ROUNDS))},
+        {lloyd_assign(pivots.ROUNDS)},
+        codes AS (SELECT r, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{pivots.ROUNDS} GROUP BY r)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(v, ',' ORDER BY part, entry, pos)) FROM book{pivots.ROUNDS}) AS codebooks_sha256
+        FROM rows JOIN codes USING (r)
+    """,
     "op12_decontaminate": f"""
         WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, {WORDS_12} AS w FROM documents),
         items AS (SELECT item_id, {WORDS_12} AS w FROM benchmark),
@@ -202,7 +237,7 @@ SQL = {
     """,
 }
 
-QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_tool_calls, op6_repair, op7_language, op8_minhash, op9_suffixes, op10_mix, op12_decontaminate]
+QUERIES = [op1_html_text, op2_pack, op3_exact_dedup, op4_compression_bands, op5_tool_calls, op6_repair, op7_language, op8_minhash, op9_suffixes, op10_mix, op11_pivots, op12_decontaminate, op13_whiten]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
