@@ -6,8 +6,8 @@ bytes in total wins, and a draw is settled by the strongest compression level. A
 the answer rejected.
 
 Training reads only texts and labels of documents that are not held out: a bounded sample per language (``SAMPLE_ROWS``
-rows, one excerpt of at most ``EXCERPT`` characters of each, ``DICTIONARY`` bytes in all), so what reaches the driver is
-bounded by the number of languages. Prediction reads the whole text and nothing else.
+rows with the smallest hashes, one excerpt of at most ``EXCERPT`` characters of each, ``DICTIONARY`` bytes in all), so what reaches
+the driver is bounded by the number of languages. Excerpts are cut, and most of a large table is left out, before rows move. Prediction reads the whole text and nothing else.
 
 Defined cases: null text and text without a letter give ``und`` with score 0 and are rejected; without any label
 everything is ``und``; equal sizes go to the language first in alphabetical order; repeated rows get equal answers; a
@@ -25,9 +25,10 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import is_small, materialize
 from .common import held_out, kind, slices
 
-SAMPLE_ROWS, EXCERPT, DICTIONARY = 400, 1_000, 112 << 10
+SAMPLE_ROWS, EXCERPT, DICTIONARY, SPARE = 400, 1_000, 112 << 10, 8
 LEVEL, STRONGEST, CHUNK = 5, 19, 2048
 #: A text is rejected when the best language saves less than this share of the second best one's bytes.
 MARGIN = 0.004
@@ -43,13 +44,17 @@ def letters(text: str) -> bytes:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Language -> dictionary bytes, from labelled documents that are not held out."""
-    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(doc_id)))
-    order = F.xxhash64(F.col(doc_id))
-    # The row number is a group limit before the shuffle: each task sends at most SAMPLE_ROWS rows of a language.
-    ranked = rows.select(F.col(lang).alias("lang"), order.alias("h"), F.col(text).alias("text"))
-    sample = ranked.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= SAMPLE_ROWS)
-    at = F.pmod(F.col("h"), F.greatest(F.char_length("text") - EXCERPT, F.lit(0)) + 1).cast("int") + 1
-    chosen = sample.select("lang", "k", F.substring("text", at, F.lit(EXCERPT)).alias("text"))
+    known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = known.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
+    h = F.xxhash64("doc_id", "text")
+    at = F.pmod(h, F.greatest(F.char_length("text") - EXCERPT, F.lit(0)) + 1).cast("int") + 1
+    excerpts = rows.select("lang", h.alias("h"), F.substring("text", at, F.lit(EXCERPT)).alias("text"))
+    # A bound on the hash, from the number of rows of the language, leaves SPARE times the sample at any size of the table.
+    counts = materialize(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    share = F.least(F.lit(1.0), F.lit(float(SPARE * SAMPLE_ROWS)) / F.col("n"))
+    near = excerpts.join(F.broadcast(counts), "lang").filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)) if is_small(counts) else excerpts
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    chosen = near.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_ROWS).select("lang", "k", "text")
     found: dict[str, list[tuple[int, str]]] = {}
     for row in chosen.collect():
         found.setdefault(row["lang"], []).append((row["k"], row["text"]))
@@ -113,7 +118,7 @@ def accepted(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(dictionaries)
-        for batch in batches:
+        for batch in slices(batches, text):
             clear = [is_clear(value, sizes, margin) for value in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(clear, pa.bool_()))
 

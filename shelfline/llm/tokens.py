@@ -1,14 +1,14 @@
 """Token ids of whole texts by the ``tokenizers`` library, with each distinct word encoded once per worker.
 
-The vocabulary file drops white space and lower-cases, so its ids for a text are the ids of its blank-separated
-chunks in order. A chunk of plain Latin letters, digits and signs is lower-cased and split by the file's own pattern
-with vectorised functions, and its distinct words go to the library's merges; any other chunk goes through the whole
-tokenizer of the file. Both give what the library gives for the whole text (tested).
+The vocabulary file drops white space and lower-cases, so its ids for a text are the ids of its blank-separated chunks in
+order. A batch's distinct chunks of plain Latin letters, digits and signs are lower-cased and split by the file's own pattern; their words
+are looked up in a store, and new words go to the library's merges. Any other chunk goes through the whole tokenizer of the file. Both give what the library gives for the whole text (tested).
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +16,58 @@ import pyarrow.compute as pc
 
 from .common import ragged
 
-# The split pattern of the vocabulary file, and the characters for which its normaliser is plain
-# lower-casing (no combining marks, no blanks, no special-token bracket).
-WORDS = r"('s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+)"
-PLAIN = r"^[!-;=-~\x{A1}-\x{AC}\x{AE}-\x{12F}\x{131}-\x{17F}]*$"
-#: Chunks kept between batches; beyond, the store starts anew.
-KEPT = 1_000_000
+# The letters and digits among the characters for which the file's normaliser is plain lower-casing (no combining
+# marks, no special-token bracket), the blanks between words, and the file's split pattern for these characters
+# (with the line feed that ends a chunk).
+LETTERS = r"a-z\xAA\xB5\xBA\xC0-\xD6\xD8-\xF6\xF8-\u017F"
+DIGITS = r"0-9\xB2\xB3\xB9\xBC-\xBE"
+WORDS = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\n{LETTERS}{DIGITS}]+")
+ODD = re.compile(r"[^\n!-;=-~\xA1-\xAC\xAE-\u012F\u0131-\u017F]")
+#: Distinct words kept between batches; beyond, the store starts anew.
+KEPT = 600_000
+
+
+class _Known(dict):
+    """Strings met before, numbered as they come, and the ids of each."""
+
+    def __init__(self, kept: int):
+        super().__init__()
+        self.kept = kept
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+        self.start, self.length = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
+
+    def __missing__(self, key: str) -> int:
+        place = self[key] = len(self)
+        self.new.append(key)
+        return place
+
+    def places(self, keys: list[str]) -> np.ndarray:
+        """Numbers of the keys; those met for the first time are in ``new`` and wait for ``learn``."""
+        if len(self) > self.kept:
+            self.forget()
+        return np.fromiter(map(self.__getitem__, keys), dtype=np.int64, count=len(keys))
+
+    def learn(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The ids of all keys in ``new``, in their order."""
+        at = len(self) - len(self.new)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self) > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[at : len(self)] = self.used + np.cumsum(lengths) - lengths
+        self.length[at : len(self)] = lengths
+        self.used += len(ids)
+        self.new = []
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = self.length[places]
+        return self.flat[ragged(self.start[places], lengths)], lengths
 
 
 class Encoder:
@@ -41,15 +87,7 @@ class Encoder:
         vocabulary = self.whole.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.kept = kept
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = pa.array([], type=pa.large_string())
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
-        self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.length = np.zeros(1 << 14, dtype=np.int64)
+        self.known = _Known(kept)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids as uint32, number of ids of each text); null counts as empty."""
@@ -59,71 +97,44 @@ class Encoder:
         chunks = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         first = np.asarray(chunks.offsets)[:-1]
         coded = chunks.flatten().dictionary_encode()
-        slots = self._slots(coded.dictionary)[np.asarray(coded.indices)]
-        lengths = self.length[slots]
-        ids = self.flat[ragged(self.start[slots], lengths)]
-        return ids, np.add.reduceat(lengths, first - first[0])
-
-    def _find(self, names: pa.Array) -> np.ndarray:
-        """Places of names in the store, -1 where it has none."""
-        return np.asarray(pc.fill_null(pc.index_in(names, value_set=self.known), -1)).astype(np.int64)
-
-    def _slots(self, chunks: pa.Array) -> np.ndarray:
-        if len(self.known) > self.kept:
-            self._forget()
-        slots = self._find(chunks)
-        new = np.flatnonzero(slots < 0)
-        if len(new):
-            fresh = chunks.take(pa.array(new))
-            ids, lengths = self._encode_chunks(fresh)
-            slots[new] = len(self.known) + np.arange(len(new))
-            self._store(len(self.known), ids, lengths)
-            self.known = pa.concat_arrays([self.known, fresh])
-        return slots
-
-    def _store(self, at: int, ids: np.ndarray, lengths: np.ndarray) -> None:
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while at + len(lengths) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[at : at + len(lengths)] = self.used + np.cumsum(lengths) - lengths
-        self.length[at : at + len(lengths)] = lengths
-        self.used += len(ids)
+        ids, lengths = self._encode_chunks(coded.dictionary)
+        start, places = np.cumsum(lengths) - lengths, np.asarray(coded.indices)
+        return ids[ragged(start[places], lengths[places])], np.add.reduceat(lengths[places], first - first[0])
 
     def _encode_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.asarray(pc.match_substring_regex(chunks, PLAIN))
-        lengths = np.zeros(len(chunks), dtype=np.int64)
-        plain_ids, lengths[plain] = self._encode_plain(chunks.filter(pa.array(plain)))
-        if plain.all():
-            return plain_ids, lengths
-        odd = [x.ids for x in self.whole.encode_batch_fast(chunks.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)]
-        lengths[~plain] = [len(x) for x in odd]
-        ids = np.zeros(int(lengths.sum()), dtype=np.uint32)
-        owner = np.repeat(plain, lengths)
-        ids[owner] = plain_ids
-        ids[~owner] = np.fromiter((i for x in odd for i in x), dtype=np.uint32, count=int((~owner).sum()))
-        return ids, lengths
-
-    def _encode_plain(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if not len(chunks):
-            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-        parted = pc.split_pattern(pc.replace_substring_regex(pc.utf8_lower(chunks), WORDS, r"\1 "), " ")
-        coded = parted.flatten().dictionary_encode()
-        known = self._find(coded.dictionary)  # a word met before as a chunk is not encoded again
-        empty = np.asarray(pc.equal(pc.binary_length(coded.dictionary), 0))
-        old = (known >= 0) & ~empty
-        new = ~old & ~empty
-        ids, lengths = self._encode_words(coded.dictionary.filter(pa.array(new)).to_pylist())
-        starts, per_word = np.zeros((2, len(known)), dtype=np.int64)
-        per_word[new], starts[new] = lengths, np.cumsum(lengths) - lengths
-        per_word[old] = self.length[known[old]]
-        starts[old] = len(ids) + np.cumsum(per_word[old]) - per_word[old]
-        ids = np.concatenate([ids, self.flat[ragged(self.start[known[old]], per_word[old])]])
-        codes = np.asarray(coded.indices)
-        first = np.asarray(parted.offsets)[:-1]
-        return ids[ragged(starts[codes], per_word[codes])], np.add.reduceat(per_word[codes], first - first[0])
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), pa.scalar("\n", pa.large_string()))[0].as_py()
+        strange = np.array([m.start() for m in ODD.finditer(joined)], dtype=np.int64)
+        if not len(strange):
+            return self._encode_plain(joined)
+        ends = np.cumsum(np.asarray(pc.utf8_length(chunks)).astype(np.int64) + 1)
+        odd = np.unique(np.searchsorted(ends, strange, side="right"))
+        bounds = np.stack([np.append(0, ends)[odd], ends[odd] - 1], axis=1).tolist()
+        plain, at = [], 0
+        for start, stop in bounds:
+            plain.append(joined[at:start])
+            at = stop
+        ids, lengths = self._encode_plain("".join([*plain, joined[at:]]))
+        found = [x.ids for x in self.whole.encode_batch_fast([joined[start:stop] for start, stop in bounds], add_special_tokens=False)]
+        lengths[odd] = [len(x) for x in found]
+        is_odd = np.zeros(len(chunks), dtype=bool)
+        is_odd[odd] = True
+        out, owner = np.zeros(int(lengths.sum()), dtype=np.uint32), np.repeat(is_odd, lengths)
+        out[~owner], out[owner] = ids, np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(owner.sum()))
+        return out, lengths
+
+    def _encode_plain(self, chunks: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain chunks, given with a line feed between two."""
+        words = WORDS.findall(chunks.lower())
+        words.append("\n")
+        places = self.known.places(words)
+        if self.known.new:
+            ids, lengths = self._encode_words([w for w in self.known.new if w != "\n"])
+            if "\n" in self.known.new:  # the end of a chunk has no ids
+                lengths = np.insert(lengths, self.known.new.index("\n"), 0)
+            self.known.learn(ids, lengths)
+        ids, lengths = self.known.ids(places)
+        ends = np.flatnonzero(places == self.known["\n"])
+        return ids, np.diff(np.cumsum(lengths)[ends], prepend=0)
 
     def _encode_words(self, words: list[str], at_once: int = 1000) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words by the library, many in one call; the token that ends a word is marked in the vocabulary."""
