@@ -74,14 +74,29 @@ def classify(pages: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     )
 
 
+def with_answers(facts: DataFrame, answers: DataFrame | None) -> DataFrame:
+    """Facts ``url, page_type`` (null where both rules are silent) with ``page_type`` and ``classified_by`` settled."""
+    if answers is None:
+        joined = facts.withColumn("_answer", F.lit(None).cast("string"))
+    else:
+        # Of several answers for an address, the first in the order of their text that names a type.
+        known = answers.groupBy("url").agg(F.min_by(type_by_answer(F.col("text")), F.when(type_by_answer(F.col("text")).isNotNull(), F.col("text"))).alias("_answer"))
+        joined = facts.join(known, "url", "left")
+    by = F.when(F.col("page_type").isNotNull(), "rule").when(F.col("_answer").isNotNull(), "model").otherwise("none")
+    return joined.withColumn("classified_by", by).withColumn("page_type", F.coalesce("page_type", "_answer", F.lit("unknown"))).drop("_answer")
+
+
+def question(template: str = QUESTION, chars: int = SNIPPET_CHARS) -> Column:
+    """The question about a page ``url, html``."""
+    return F.format_string(template, F.col("url"), F.substring(F.coalesce("html", F.lit("")), 1, chars))
+
+
 def classify_requests(pages: DataFrame, template: str = QUESTION, chars: int = SNIPPET_CHARS) -> DataFrame:
     """Model questions ``url, prompt`` for the pages both rules leave open."""
     undecided = pages.filter(type_by_url(F.col("url")).isNull()).filter(
         type_by_scripts(markup.ld_scripts(F.col("html"))).isNull()
     )
-    return undecided.select(
-        "url", F.format_string(template, F.col("url"), F.substring(F.coalesce("html", F.lit("")), 1, chars)).alias("prompt")
-    )
+    return undecided.select("url", question(template, chars).alias("prompt"))
 
 
 def audit_types(typed: DataFrame) -> DataFrame:

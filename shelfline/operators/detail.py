@@ -25,7 +25,7 @@ SKU_LABEL = r"(?i)SKU|Item\s*#|Product\s*Code"
 SKU_VALUE = r"[A-Z0-9]{3,}"
 
 _FIELDS = [n for n in PRODUCT_TYPES if n not in ("fingerprint", "scraped_at")]
-_RECORD = ", ".join(f"{n}: {PRODUCT_TYPES[n]}" for n in _FIELDS)
+RECORD = ", ".join(f"{n}: {PRODUCT_TYPES[n]}" for n in _FIELDS)
 
 
 def _record(columns: dict[str, Column]) -> Column:
@@ -222,9 +222,9 @@ def resolve_record(read: DataFrame, answers: DataFrame | None = None) -> DataFra
     """``record`` and ``extracted_by`` from the rows of :func:`read_page`; no body is left to shuffle or buffer."""
     ruled = with_markup(with_parts(read))
     if answers is None:
-        ruled = ruled.withColumn("by_model", F.lit(None).cast(f"struct<{_RECORD}>"))
+        ruled = ruled.withColumn("by_model", F.lit(None).cast(f"struct<{RECORD}>"))
     else:
-        ruled = answer_record(ruled.join(answers.select(F.col("url").alias("page_url"), "text"), "page_url", "left"))
+        ruled = answer_record(ruled.join(one_answer(answers).withColumnRenamed("url", "page_url"), "page_url", "left"))
         ruled = ruled.drop("text")
     by = (
         F.when(F.col("by_jsonld").isNotNull(), "jsonld")
@@ -237,6 +237,28 @@ def resolve_record(read: DataFrame, answers: DataFrame | None = None) -> DataFra
     ).drop("by_jsonld", "by_markup", "by_model")
 
 
+def one_answer(answers: DataFrame) -> DataFrame:
+    """One answer ``url, text`` for each address: of several the first in the order of their text."""
+    return answers.groupBy("url").agg(F.min("text").alias("text"))
+
+
+def with_answers(facts: DataFrame, answers: DataFrame | None) -> DataFrame:
+    """Facts ``url, record, extracted_by`` with the records of model answers where no rule gave one."""
+    if answers is None:
+        return facts
+    named = facts.withColumns({"page_url": F.col("url"), "category_path": F.lit("")})
+    answered = answer_record(named.join(one_answer(answers).withColumnRenamed("url", "page_url"), "page_url", "left"))
+    by_model = F.col("record").isNull() & F.col("by_model").isNotNull()
+    return answered.withColumns(
+        {"extracted_by": F.when(by_model, "model").otherwise(F.col("extracted_by")), "record": F.coalesce("record", "by_model")}
+    ).select(*facts.columns)
+
+
+def request_prompt(template: str = REQUEST, chars: int = SNIPPET_CHARS) -> Column:
+    """The question about a page ``url, html``."""
+    return F.format_string(template, F.col("url"), F.substring("html", 1, chars))
+
+
 def extract_requests(pages: DataFrame, template: str = REQUEST, chars: int = SNIPPET_CHARS) -> DataFrame:
     """Model requests ``url, prompt`` for pages neither JSON-LD nor markup could read."""
     prompt = F.format_string(template, F.col("page_url"), F.substring("html", 1, chars))

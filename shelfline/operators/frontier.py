@@ -17,7 +17,7 @@ from ..session import is_small
 from .rows import settle
 
 _SUBCATEGORY_TYPES = ("CollectionPage", "Category")
-_HITS = "array<struct<name:string,url:string,raw_url:string,found_by:string>>"
+HITS = "array<struct<name:string,url:string,raw_url:string,found_by:string>>"
 
 
 def with_anchor_cells(pages: DataFrame, where: Column | None = None) -> DataFrame:
@@ -190,7 +190,7 @@ def with_hit_cells(pages: DataFrame, base: str, where: Column | None = None, how
     ``how`` is ``html`` (anchors), ``jsonld``, or ``all``. Rows outside ``where`` get nulls at no cost.
     """
     staged = pages.withColumn("_prefix", path_prefix(F.col("url"), base))
-    by_json = _tagged(_jsonld_children(F.col("html")), "jsonld", "raw_url") if how != "html" else F.lit(None).cast(_HITS)
+    by_json = _tagged(_jsonld_children(F.col("html")), "jsonld", "raw_url") if how != "html" else F.lit(None).cast(HITS)
     staged = staged.withColumn("_ld_hits", by_json if where is None else F.when(where, by_json))
     return with_anchor_cells(staged, F.lit(False) if how == "jsonld" else where)
 

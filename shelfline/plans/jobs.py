@@ -1,7 +1,8 @@
 """The listing job, the detail job and the whole run.
 
-Page bodies are read once: :func:`page_facts` turns each page into a compact row, which is written to the
-shared folder. All joins run on those rows or on typed products; a body never passes a shuffle.
+A run asks a reader (see ``facts``) for what it needs to know about the pages of its frontier: seed pages first, then the
+listings found there, then the products linked from those and not visited yet. Only these bodies are read, and only for what
+is asked. All joins run on compact rows or on typed products; a body never passes a shuffle.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from ..functions import jsonld, markup
 from ..operators import classify as typing_
 from ..operators import detail, frontier, listing, merge, validate
 from ..schemas import PRODUCT_TYPES
-from ..session import configure, is_small, materialize, narrow
-from ..sources.snapshots import VERSION, failed_pages, newest, newest_readable, ok_pages, with_version
+from ..session import configure, is_small, materialize
+from ..sources.log import FOLD_EVERY, PageLog
+from ..sources.snapshots import VERSION, newest_readable, ok_pages, with_version
 from ..sources.store import Store, new_products
+from .facts import PageReader, StoredReader, fact_log
 
 PRODUCT_COLUMNS = [*PRODUCT_TYPES, "ord"]
 LISTING_PHASE, DETAIL_PHASE = 0, 1
@@ -42,12 +45,16 @@ class RunResult:
     """Page type met per listing, with the unexpected ones flagged."""
     requests: DataFrame
     """Model requests ``url, prompt`` for the detail pages of the run that no rule could read."""
-    script_rejects: DataFrame
-    """Scripts of readable pages that are not JSON: ``page_url, script_pos, bytes, reason``."""
+    type_requests: DataFrame
+    """Model requests ``url, prompt`` for the listing pages of the run whose type no rule could tell."""
+    script_rejects: DataFrame | None
+    """Scripts of readable pages that are not JSON: ``page_url, script_pos, bytes, reason``; None without bodies at hand."""
+    reader: PageReader | StoredReader
+    """Where the facts came from: ``fresh`` facts by kind, and the number of bodies ``evaluated`` for each kind."""
 
 
 def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = True, answers: DataFrame | None = None) -> DataFrame:
-    """One compact row per readable snapshot: item-list scripts, product links, subcategories, detail record.
+    """One compact row per readable snapshot with the facts of all kinds, for pages whose frontier is not known yet.
 
     ``answers(url, text)`` are model answers for detail pages that no rule reads. Narrow but for the seed flag, which is broadcast when the seed list is proven small; otherwise every
     page is searched for subcategories.
@@ -78,12 +85,6 @@ def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = Tr
     return facts.select(*columns)
 
 
-def model_requests(pages: DataFrame, unread: DataFrame) -> DataFrame:
-    """Requests for the newest readable snapshots of the addresses ``unread(url)``."""
-    near = with_version(ok_pages(narrow(pages, unread))).join(unread, "url", "left_semi")
-    return detail.extract_requests(newest(near).select(F.col("url").alias("page_url"), "html", F.lit("").alias("category_path"), F.array().cast("array<bigint>").alias("ord")))
-
-
 def _place(phase: int, batch: int, *columns: str):
     return F.array(F.lit(batch).cast("bigint"), F.lit(phase).cast("bigint"), *[F.col(c).cast("bigint") for c in columns])
 
@@ -114,13 +115,20 @@ def listing_job(
     return (valid if stored is None else new_products(materialize(valid, "valid"), stored)), raw
 
 
-def detail_records(listings: DataFrame, facts: DataFrame, visited: DataFrame | None, batch: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Records of the detail pages below ``listings``, and the addresses read."""
+def detail_frontier(listings: DataFrame, visited: DataFrame | None, batch: int = 0) -> DataFrame:
+    """Detail pages below ``listings`` to read: ``url, category_path, ord``."""
     placed = listings.withColumn("ord", _place(DETAIL_PHASE, batch, "seed_ord", "sub_pos"))
     wanted = frontier.product_frontier(placed, visited)
     # A subcategory read in this run is already marked.
-    own = listings.filter(~F.col("is_category")).select("url")
-    reached = wanted.join(own, "url", "left_anti").join(facts.select("url", "record"), "url")
+    return wanted.join(listings.filter(~F.col("is_category")).select("url"), "url", "left_anti")
+
+
+def detail_records(
+    listings: DataFrame, facts: DataFrame, visited: DataFrame | None, batch: int = 0, wanted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Records of the detail pages below ``listings`` (or of the frontier ``wanted``), and the addresses read."""
+    front = detail_frontier(listings, visited, batch) if wanted is None else wanted
+    reached = front.join(facts.select("url", "record"), "url")
     rows = reached.withColumn("page_url", F.col("url")).withColumn(
         "record", F.when(F.col("record").isNotNull(), F.col("record").withField("category_path", F.col("category_path")))
     )
@@ -128,15 +136,23 @@ def detail_records(listings: DataFrame, facts: DataFrame, visited: DataFrame | N
 
 
 def detail_job(
-    products: DataFrame, listings: DataFrame, facts: DataFrame, scraped_at, visited: DataFrame | None = None, batch: int = 0
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    products: DataFrame, listings: DataFrame, facts: DataFrame, scraped_at, visited: DataFrame | None = None, batch: int = 0,
+    wanted: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Patches, inserts and marks from the detail pages of the listings read."""
-    found, reached = detail_records(listings, facts, visited, batch)
+    found, reached = detail_records(listings, facts, visited, batch, wanted)
     stamped = materialize(found.withColumn("scraped_at", F.lit(scraped_at).cast("timestamp")), "details")
     matched = merge.match_details(stamped, products)
     return merge.patches(matched), merge.inserts(matched, PRODUCT_COLUMNS), reached
 
 
+def answers_to(task: str, answers: DataFrame | None) -> DataFrame | None:
+    """Answers ``url, text`` of one task (``record`` or ``type``); without a column ``task`` all are records."""
+    if answers is None or "task" not in answers.columns:
+        return answers if task == "record" else None
+    return answers.filter(F.col("task") == task).select("url", "text")
+
+
 def full_run(
     pages: DataFrame,
     seeds: DataFrame,
@@ -149,19 +165,43 @@ def full_run(
     skip_details: bool = False,
     batch: int = 0,
     answers: DataFrame | None = None,
+    known: PageLog | None = None,
 ) -> RunResult:
     """One run over a page snapshot: seeds ``(seed_ord, path)`` to the product table.
 
     All listings go before all details, so a listing product wins over a detail-only record with its key. ``answers(url,
-    text)`` are model answers to the ``requests`` of an earlier run.
+    text)``, with a column ``task`` if they answer both kinds, are model answers to the ``requests`` and ``type_requests`` of an
+    earlier run. ``known`` holds what earlier runs read off the same snapshots.
     """
     configure(pages.sparkSession)
+    reader = PageReader(pages, base, known)
+    result = run_over(reader, seeds, base, scraped_at, stored, visited, limit=limit, skip_details=skip_details, batch=batch, answers=answers)
+    unread, untyped = result.requests, result.type_requests
+    result.requests = reader.prompts(unread, detail.request_prompt())
+    result.type_requests = reader.prompts(untyped, typing_.question())
+    result.script_rejects = listing.script_rejects(pages.select(F.col("url").alias("page_url"), "html", "status").filter("status = 200").drop("status"))
+    return result
+
+
+def run_over(
+    reader: PageReader | StoredReader,
+    seeds: DataFrame,
+    base: str,
+    scraped_at,
+    stored: DataFrame | None = None,
+    visited: DataFrame | None = None,
+    *,
+    limit: int | None = None,
+    skip_details: bool = False,
+    batch: int = 0,
+    answers: DataFrame | None = None,
+) -> RunResult:
+    """The same over what a reader knows of the pages; ``requests`` and ``type_requests`` hold addresses only."""
     start = frontier.seed_frontier(seeds, base, limit)
-    read = materialize(page_facts(pages, start, base, details=not skip_details, answers=answers), "snapshots")
-    # Of several snapshots of an address the newest counts; only compact rows meet for that.
-    facts = materialize(newest_readable(read, pages), "facts")
-    front = materialize(frontier.listing_frontier_of(start, facts, visited), "frontier")
-    listings = listings_read(front, facts, batch)
+    links = reader.facts("links", start.select("url"))
+    front = materialize(frontier.listing_frontier_of(start, links, visited), "frontier")
+    typed = typing_.with_answers(reader.facts("listing", front.select("url")).drop(*VERSION), answers_to("type", answers))
+    listings = listings_read(front, typed, batch)
     raw = materialize(raw_listing_products(listings), "raw")
     valid = materialize(stamp(validate.validate(raw), scraped_at), "valid")
     if stored is None:
@@ -171,17 +211,18 @@ def full_run(
         fresh = new_products(valid, before)
         products = before.unionByName(fresh)
     marks = listings.filter(~F.col("is_category")).select("url")
-    audit = typing_.audit_types(listings.select("url", "category_path", "page_type"))
     if skip_details:
         none = products.limit(0).select(
             "fingerprint", F.col("description").alias("new_description"), F.col("specifications").alias("new_specifications")
         )
         inserted, changes = fresh, none
-        unread = facts.select("url").limit(0)
+        unread = marks.limit(0)
     else:
-        changes, added, reached = detail_job(products, listings, facts, scraped_at, visited, batch)
+        wanted = materialize(detail_frontier(listings, visited, batch), "detail-frontier")
+        found = detail.with_answers(reader.facts("detail", wanted.select("url")).drop(*VERSION), answers_to("record", answers))
+        changes, added, reached = detail_job(products, listings, found, scraped_at, visited, batch, wanted)
         inserted, marks = fresh.unionByName(added), marks.unionByName(reached)
-        unread = facts.filter("extracted_by = 'none'").select("url").join(reached.distinct(), "url", "left_semi")
+        unread = found.filter("extracted_by = 'none'").select("url")
         products = merge.apply_patches(products, changes).unionByName(added)
     return RunResult(
         products=products,
@@ -190,22 +231,28 @@ def full_run(
         rejects=validate.rejects(raw),
         stats=validate.validation_stats(raw),
         marks=marks.distinct(),
-        failed=failed_pages(pages),
-        audit=audit,
-        requests=model_requests(pages, unread),
-        script_rejects=listing.script_rejects(pages.select(F.col("url").alias("page_url"), "html", "status").filter("status = 200").drop("status")),
+        failed=reader.failed(),
+        audit=typing_.audit_types(listings.select("url", "category_path", "page_type", "classified_by")),
+        requests=unread,
+        type_requests=listings.filter("classified_by = 'none'").select("url").distinct(),
+        script_rejects=None,
+        reader=reader,
     )
 
 
 def run_into(store: Store, pages: DataFrame, seeds: DataFrame, base: str, scraped_at, batch: int, **options) -> RunResult:
     """Run against a store and append what is new.
 
-    Products go first, marks last: after a crash the same call finds the missing parts again, and the
-    fingerprint keeps it from inserting anything twice.
+    Facts go first, then products, marks last: after a crash the same call finds the missing parts again without
+    reading a body twice, and the fingerprint keeps it from inserting anything twice.
     """
+    log = fact_log(store.spark, store.path("facts"))
     result = full_run(
-        pages, seeds, base, scraped_at, store.products(), store.visited(), batch=batch, **options
+        pages, seeds, base, scraped_at, store.products(), store.visited(), batch=batch, known=log, **options
     )
+    result.reader.save(log)
+    if len(log.batches()) >= FOLD_EVERY:
+        log.fold()
     inserted, changes = materialize(result.inserted, "inserted"), materialize(result.patches, "patches")
     marks = materialize(result.marks, "marks")
     store.append(inserted, batch)

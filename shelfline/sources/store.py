@@ -16,8 +16,9 @@ from ..operators.merge import apply_patches
 from ..operators.validate import first_wins
 from ..schemas import VISITED, product_ddl
 from ..session import materialize, narrow
+from .log import FOLD_EVERY, PageLog
+from .snapshots import VERSION
 
-VERSION_DDL = "fetched_at timestamp, status int, body_hash bigint"
 PATCH_DDL = "fingerprint string, new_description string, new_specifications map<string,string>, batch bigint"
 
 
@@ -79,10 +80,15 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self.log = PageLog(spark, self.path("pages"), {"listed": f"{product_ddl()}, listed_in bigint"})
+        """Products of the ingested pages."""
+
+    def path(self, name: str) -> str:
+        return os.path.join(self.root, name)
 
     def _read(self, name: str, ddl) -> DataFrame:
         try:
-            return self.spark.read.schema(ddl).parquet(os.path.join(self.root, name))
+            return self.spark.read.schema(ddl).parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -101,22 +107,18 @@ class Store:
         Only the newest snapshot of an address counts, whichever batch brought it; a failed one takes its address out.
         Of pages that list one product the address decides, as within a batch, so the way into batches changes nothing.
         """
-        versions = self._read("snapshots", f"url string, {VERSION_DDL}")
-        if not versions.inputFiles():
+        if not self.log.holds_any():
             return None
-        order = [F.col("fetched_at").desc_nulls_last(), F.col("status").asc_nulls_last(), F.col("body_hash")]
-        newest = versions.withColumn("_rank", F.row_number().over(Window.partitionBy("url").orderBy(*order))).filter("_rank = 1 and status = 200")
-        rows, top = self._read("listed", f"{product_ddl()}, batch bigint, page_url string, {VERSION_DDL}").alias("r"), newest.alias("v")
-        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"v.{c}")) for c in ("fetched_at", "status", "body_hash")]
-        current = rows.join(top, [F.col("r.page_url") == F.col("v.url"), *same], "left_semi").drop("page_url", "fetched_at", "status", "body_hash")
+        current = self.log.live("listed").withColumnRenamed("listed_in", "batch").drop("url", *VERSION)
         first = Window.partitionBy("fingerprint").orderBy(F.slice("ord", 2, 8), "ord")
         return current.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
-    def list_pages(self, rows: DataFrame, versions: DataFrame, batch: int) -> None:
-        """Append the products of a batch of pages and the newest version of each page; rows first, as they count only with it."""
-        numbered = rows.withColumn("batch", F.lit(batch).cast("bigint"))
-        numbered.write.mode("append").parquet(os.path.join(self.root, "listed"))
-        versions.write.mode("append").parquet(os.path.join(self.root, "snapshots"))
+    def list_pages(self, rows: DataFrame, versions: DataFrame, batch: int, name: str, fold_every: int = FOLD_EVERY) -> None:
+        """Append the products of a batch of pages and the newest version of each page; ``name`` tells a replay."""
+        numbered = rows.withColumn("listed_in", F.lit(batch).cast("bigint")).withColumnRenamed("page_url", "url")
+        self.log.append(name, {"listed": numbered}, versions)
+        if len(self.log.batches()) >= fold_every:
+            self.log.fold()
 
     def patches(self) -> DataFrame:
         return self._read("patches", PATCH_DDL)
@@ -138,7 +140,7 @@ class Store:
     def append(self, new: DataFrame, batch: int) -> None:
         """Append rows already known to be new."""
         new.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(
-            os.path.join(self.root, "products")
+            self.path("products")
         )
 
     def insert(self, batch_rows: DataFrame, batch: int) -> int:
@@ -151,7 +153,7 @@ class Store:
 
     def append_patches(self, changes: DataFrame, batch: int) -> None:
         changes.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(
-            os.path.join(self.root, "patches")
+            self.path("patches")
         )
 
     def mark(self, urls: DataFrame, created_at) -> None:
@@ -159,4 +161,4 @@ class Store:
         fresh = urls.select("url").distinct().join(self.visited().select("url"), "url", "left_anti")
         fresh.select(
             "url", F.lit("visited").alias("status"), F.lit(created_at).cast("timestamp").alias("created_at")
-        ).write.mode("append").parquet(os.path.join(self.root, "visited"))
+        ).write.mode("append").parquet(self.path("visited"))
