@@ -15,6 +15,8 @@ from ..session import configure
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that an Arrow function works on at once, whatever the batch brought.
 SLICE_BYTES = 4 << 20
+#: Bytes of a batch that Spark hands to an Arrow function, but for a single row that is larger.
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -23,6 +25,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     Operators of several jobs write what later jobs need to the shared folder, so old shuffle files are dead weight.
     """
     configure(spark).conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    # Batches for Arrow functions are bounded by bytes, as texts may be of any length.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
