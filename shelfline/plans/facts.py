@@ -196,6 +196,9 @@ class StoredReader:
         # A replay may have brought a page twice.
         return materialize(near.dropDuplicates(["url"]), f"stored-{kind}")
 
+    def prompts(self, wanted: DataFrame, prompt: Column) -> DataFrame:
+        return wanted.select("url", F.lit(None).cast("string").alias("prompt"))
+
 
 def fact_log(spark: SparkSession, root: str) -> PageLog:
     return PageLog(spark, root, TABLES)

@@ -8,6 +8,7 @@ is asked. All joins run on compact rows or on typed products; a body never passe
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +44,29 @@ class RunResult:
     failed: DataFrame
     audit: DataFrame
     """Page type met per listing, with the unexpected ones flagged."""
-    requests: DataFrame
-    """Model requests ``url, prompt`` for the detail pages of the run that no rule could read."""
-    type_requests: DataFrame
-    """Model requests ``url, prompt`` for the listing pages of the run whose type no rule could tell."""
-    script_rejects: DataFrame | None
-    """Scripts of readable pages that are not JSON: ``page_url, script_pos, bytes, reason``; None without bodies at hand."""
+    unread: DataFrame
+    """Detail pages of the run that no rule could read."""
+    untyped: DataFrame
+    """Listing pages of the run whose type no rule could tell."""
     reader: PageReader | StoredReader
     """Where the facts came from: ``fresh`` facts by kind, and the number of bodies ``evaluated`` for each kind."""
 
+    @cached_property
+    def requests(self) -> DataFrame:
+        """Model requests ``url, prompt`` for the unread pages; a stored reader has no bodies and gives addresses only."""
+        return self.reader.prompts(self.unread, detail.request_prompt())
+
+    @cached_property
+    def type_requests(self) -> DataFrame:
+        """Model requests ``url, prompt`` for the untyped pages."""
+        return self.reader.prompts(self.untyped, typing_.question())
+
+    @cached_property
+    def script_rejects(self) -> DataFrame:
+        """Scripts of readable pages that are not JSON: ``page_url, script_pos, bytes, reason``."""
+        pages = ok_pages(self.reader.pages)
+        return listing.script_rejects(pages.select(F.col("url").alias("page_url"), "html"))
+
 
 def page_facts(pages: DataFrame, seeds: DataFrame, base: str, details: bool = True, answers: DataFrame | None = None) -> DataFrame:
     """One compact row per readable snapshot with the facts of all kinds, for pages whose frontier is not known yet.
@@ -175,12 +190,7 @@ def full_run(
     """
     configure(pages.sparkSession)
     reader = PageReader(pages, base, known)
-    result = run_over(reader, seeds, base, scraped_at, stored, visited, limit=limit, skip_details=skip_details, batch=batch, answers=answers)
-    unread, untyped = result.requests, result.type_requests
-    result.requests = reader.prompts(unread, detail.request_prompt())
-    result.type_requests = reader.prompts(untyped, typing_.question())
-    result.script_rejects = listing.script_rejects(pages.select(F.col("url").alias("page_url"), "html", "status").filter("status = 200").drop("status"))
-    return result
+    return run_over(reader, seeds, base, scraped_at, stored, visited, limit=limit, skip_details=skip_details, batch=batch, answers=answers)
 
 
 def run_over(
@@ -196,7 +206,7 @@ def run_over(
     batch: int = 0,
     answers: DataFrame | None = None,
 ) -> RunResult:
-    """The same over what a reader knows of the pages; ``requests`` and ``type_requests`` hold addresses only."""
+    """The same over what a reader knows of the pages."""
     start = frontier.seed_frontier(seeds, base, limit)
     links = reader.facts("links", start.select("url"))
     front = materialize(frontier.listing_frontier_of(start, links, visited), "frontier")
@@ -233,9 +243,8 @@ def run_over(
         marks=marks.distinct(),
         failed=reader.failed(),
         audit=typing_.audit_types(listings.select("url", "category_path", "page_type", "classified_by")),
-        requests=unread,
-        type_requests=listings.filter("classified_by = 'none'").select("url").distinct(),
-        script_rejects=None,
+        unread=unread,
+        untyped=listings.filter("classified_by = 'none'").select("url").distinct(),
         reader=reader,
     )
 
