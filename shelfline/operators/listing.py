@@ -26,7 +26,12 @@ def jsonld_blocks(scripted: DataFrame) -> DataFrame:
 
 def script_rejects(pages: DataFrame) -> DataFrame:
     """Scripts that are not one JSON document, as ``page_url, script_pos, bytes, reason``; their products are not read."""
-    rows = explode_rows(jsonld_scripts(pages.select("page_url", "html")), F.col("scripts"), "script_pos", "script").drop("scripts")
+    return bad_scripts(jsonld_scripts(pages.select("page_url", "html")))
+
+
+def bad_scripts(scripted: DataFrame) -> DataFrame:
+    """The same among the scripts of compact rows ``page_url, scripts``."""
+    rows = explode_rows(scripted.select("page_url", "scripts"), F.col("scripts"), "script_pos", "script").drop("scripts")
     size = F.octet_length("script")
     reason = F.when(F.trim("script") == "", "empty").when(size > jsonld.VARIANT_BYTES, "larger than a variant").otherwise("not JSON")
     return rows.filter(jsonld.document(F.col("script")).isNull()).select("page_url", "script_pos", size.alias("bytes"), reason.alias("reason"))

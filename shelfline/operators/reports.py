@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The fields of the published coverage report.
@@ -21,19 +21,17 @@ def category_report(products: DataFrame) -> DataFrame:
     )
 
 
-def field_coverage(products: DataFrame, fields: tuple[str, ...] = COVERAGE_FIELDS) -> DataFrame:
-    """``field, filled, total, pct`` from one pass; empty text and empty arrays are not filled."""
-    kinds = dict(products.dtypes)
+def filled(products: DataFrame, name: str) -> Column:
+    """Count of the rows with a value; empty text and empty arrays are none."""
+    kind, col = dict(products.dtypes)[name], F.col(name)
+    if kind.startswith(("array", "map")):
+        return F.count_if(F.size(col) > 0)
+    return F.count_if(col != "") if kind == "string" else F.count(col)
 
-    def filled(name: str):
-        col = F.col(name)
-        if kinds[name].startswith(("array", "map")):
-            return F.count_if(F.size(col) > 0)
-        if kinds[name] == "string":
-            return F.count_if(col != "")
-        return F.count(col)
 
-    counts = products.agg(F.count(F.lit(1)).alias("total"), *[filled(f).alias(f) for f in fields])
+def field_coverage(products: DataFrame, fields: tuple[str, ...] = COVERAGE_FIELDS) -> DataFrame:
+    """``field, filled, total, pct`` from one pass; empty text and empty arrays are not filled."""
+    counts = products.agg(F.count(F.lit(1)).alias("total"), *[filled(products, f).alias(f) for f in fields])
     long = counts.unpivot("total", list(fields), "field", "filled")
     pct = F.when(F.col("total") > 0, F.round(F.col("filled") * 100.0 / F.col("total"), 2)).otherwise(0.0)
     return long.select("field", "filled", "total", pct.alias("pct"))

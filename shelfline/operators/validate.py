@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import fingerprint
@@ -82,15 +82,23 @@ def normalize(products: DataFrame) -> DataFrame:
     return clean_text(fixed, "product_name", "brand", "description")
 
 
-def validate(raw: DataFrame) -> DataFrame:
-    """Valid, normalised, deduplicated products.
+def validate(raw: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Valid, normalised, deduplicated products; ``seen`` takes the counts ``total`` and ``dropped`` on the way.
 
     The key needs only address and sku, so duplicates go before any text is decoded.
     """
-    kept = tag(raw).filter(F.col("drop_reason").isNull()).drop("drop_reason")
+    tagged = tag(raw)
+    if seen is not None:
+        tagged = tagged.observe(seen, F.count(F.lit(1)).alias("total"), F.count("drop_reason").alias("dropped"))
+    kept = tagged.filter(F.col("drop_reason").isNull()).drop("drop_reason")
     return normalize(first_wins(kept))
 
 
+def stats_of(spark: SparkSession, total: int, valid: int, dropped: int) -> DataFrame:
+    """The counters as one row, from counts that were observed."""
+    return spark.createDataFrame([(total, valid, total - valid - dropped, dropped)], "total bigint, valid bigint, duplicates bigint, dropped bigint")
+
+
 def validation_stats(raw: DataFrame) -> DataFrame:
     """One row ``total, valid, duplicates, dropped``; duplicates combine before the shuffle."""
     tagged = tag(raw.select("product_name", "product_url", "sku"))

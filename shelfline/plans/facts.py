@@ -113,6 +113,7 @@ class PageReader:
         self.heads = materialize(heads(pages), "heads")
         self.fresh: dict[str, DataFrame] = {}
         """Facts read by this run, by kind."""
+        self.found: dict[str, DataFrame] = {}
         self.evaluated: dict[str, int] = {}
         """Pages whose bodies the rules of a kind were run on."""
 
@@ -124,15 +125,20 @@ class PageReader:
         """Facts of a kind for the readable pages among the addresses ``wanted(url)``, one row per address."""
         need = self.heads.filter("status = 200").join(wanted.select("url").distinct(), "url", "left_semi")
         if self.known is None:
-            self.fresh[kind] = self._read(kind, need)
-            return self.fresh[kind]
+            self.fresh[kind] = self.found[kind] = self._read(kind, need)
+            return self.found[kind]
         need = materialize(need, f"need-{kind}")
         stored = narrow(self.known.rows(kind), need.select("url"))
         # A snapshot without a time cannot be told from a later one, so it is read again.
         kept = newest_rows(stored.join(need.select("url", "fetched_at").distinct(), ["url", "fetched_at"], "left_semi"))
         kept = materialize(kept, f"known-{kind}")
         self.fresh[kind] = self._read(kind, need.join(kept.select("url"), "url", "left_anti"))
-        return self.fresh[kind].unionByName(kept.select(*self.fresh[kind].columns))
+        self.found[kind] = self.fresh[kind].unionByName(kept.select(*self.fresh[kind].columns))
+        return self.found[kind]
+
+    def facts_read(self, kind: str) -> DataFrame:
+        """The facts that the run was given."""
+        return self.found[kind]
 
     def _read(self, kind: str, need: DataFrame) -> DataFrame:
         """Facts of the snapshots ``url, fetched_at, file``, written."""
@@ -185,7 +191,7 @@ class StoredReader:
 
     def __init__(self, log: PageLog):
         self.log = log
-        self.fresh: dict[str, DataFrame] = {}
+        self.found: dict[str, DataFrame] = {}
         self.evaluated: dict[str, int] = {}
 
     def failed(self) -> DataFrame:
@@ -194,7 +200,11 @@ class StoredReader:
     def facts(self, kind: str, wanted: DataFrame) -> DataFrame:
         near = narrow(self.log.live(kind), wanted.select("url")).join(wanted.select("url").distinct(), "url", "left_semi")
         # A replay may have brought a page twice.
-        return materialize(near.dropDuplicates(["url"]), f"stored-{kind}")
+        self.found[kind] = materialize(near.dropDuplicates(["url"]), f"stored-{kind}")
+        return self.found[kind]
+
+    def facts_read(self, kind: str) -> DataFrame:
+        return self.found[kind]
 
     def prompts(self, wanted: DataFrame, prompt: Column) -> DataFrame:
         return wanted.select("url", F.lit(None).cast("string").alias("prompt"))

@@ -10,12 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import jsonld, markup
 from ..operators import classify as typing_
-from ..operators import detail, frontier, listing, merge, validate
+from ..operators import detail, frontier, listing, merge, monitor, validate
 from ..schemas import PRODUCT_TYPES
 from ..session import configure, is_small, materialize
 from ..sources.log import FOLD_EVERY, PageLog
@@ -39,6 +39,9 @@ class RunResult:
     """Enrichment of stored products by fingerprint."""
     rejects: DataFrame
     stats: DataFrame
+    """Counters of the validation, observed while its rows were written."""
+    coverage: DataFrame
+    """Coverage of the valid products by field, with those below the limit flagged; observed as well."""
     marks: DataFrame
     """Addresses read in this run."""
     failed: DataFrame
@@ -48,6 +51,12 @@ class RunResult:
     """Detail pages of the run that no rule could read."""
     untyped: DataFrame
     """Listing pages of the run whose type no rule could tell."""
+    front: DataFrame
+    """Listing frontier of the run."""
+    listings: DataFrame
+    """Listing pages that were read, compact."""
+    wanted: DataFrame | None
+    """Detail frontier of the run; None without details."""
     reader: PageReader | StoredReader
     """Where the facts came from: ``fresh`` facts by kind, and the number of bodies ``evaluated`` for each kind."""
 
@@ -210,10 +219,31 @@ def run_over(
     start = frontier.seed_frontier(seeds, base, limit)
     links = reader.facts("links", start.select("url"))
     front = materialize(frontier.listing_frontier_of(start, links, visited), "frontier")
+    return run_frontier(reader, front, scraped_at, stored, visited, skip_details=skip_details, batch=batch, answers=answers)
+
+
+def run_frontier(
+    reader: PageReader | StoredReader,
+    front: DataFrame,
+    scraped_at,
+    stored: DataFrame | None = None,
+    visited: DataFrame | None = None,
+    *,
+    skip_details: bool = False,
+    batch: int = 0,
+    answers: DataFrame | None = None,
+    more_details: DataFrame | None = None,
+) -> RunResult:
+    """The run below a listing frontier, and over the detail pages ``more_details(url, category_path, ord)``."""
+    spark = front.sparkSession
     typed = typing_.with_answers(reader.facts("listing", front.select("url")).drop(*VERSION), answers_to("type", answers))
     listings = listings_read(front, typed, batch)
     raw = materialize(raw_listing_products(listings), "raw")
-    valid = materialize(stamp(validate.validate(raw), scraped_at), "valid")
+    # Counters come with the rows as they are written.
+    seen, kept = Observation("raw"), Observation("valid")
+    checked = stamp(validate.validate(raw, seen), scraped_at)
+    valid = materialize(checked.observe(kept, *monitor.coverage_metrics(checked)), "valid")
+    stats = validate.stats_of(spark, seen.get["total"], kept.get["total"], seen.get["dropped"])
     if stored is None:
         fresh = products = valid
     else:
@@ -221,6 +251,7 @@ def run_over(
         fresh = new_products(valid, before)
         products = before.unionByName(fresh)
     marks = listings.filter(~F.col("is_category")).select("url")
+    wanted = None
     if skip_details:
         none = products.limit(0).select(
             "fingerprint", F.col("description").alias("new_description"), F.col("specifications").alias("new_specifications")
@@ -228,7 +259,10 @@ def run_over(
         inserted, changes = fresh, none
         unread = marks.limit(0)
     else:
-        wanted = materialize(detail_frontier(listings, visited, batch), "detail-frontier")
+        wanted = detail_frontier(listings, visited, batch)
+        if more_details is not None:
+            wanted = frontier.first_in_run(wanted.unionByName(more_details.select(*wanted.columns)))
+        wanted = materialize(wanted, "detail-frontier")
         found = detail.with_answers(reader.facts("detail", wanted.select("url")).drop(*VERSION), answers_to("record", answers))
         changes, added, reached = detail_job(products, listings, found, scraped_at, visited, batch, wanted)
         inserted, marks = fresh.unionByName(added), marks.unionByName(reached)
@@ -239,32 +273,102 @@ def run_over(
         inserted=inserted,
         patches=changes,
         rejects=validate.rejects(raw),
-        stats=validate.validation_stats(raw),
+        stats=stats,
+        coverage=monitor.coverage_alert(spark, kept.get),
         marks=marks.distinct(),
         failed=reader.failed(),
         audit=typing_.audit_types(listings.select("url", "category_path", "page_type", "classified_by")),
         unread=unread,
         untyped=listings.filter("classified_by = 'none'").select("url").distinct(),
+        front=front,
+        listings=listings,
+        wanted=wanted,
         reader=reader,
     )
 
 
-def run_into(store: Store, pages: DataFrame, seeds: DataFrame, base: str, scraped_at, batch: int, **options) -> RunResult:
-    """Run against a store and append what is new.
+def quarantine(result: RunResult) -> DataFrame:
+    """What the run could not use, as rows of ``QUARANTINE`` without their batch.
 
-    Facts go first, then products, marks last: after a crash the same call finds the missing parts again without
-    reading a body twice, and the fingerprint keeps it from inserting anything twice.
+    The key says what a row stands for, so a later run over the same page and cause adds nothing.
     """
-    log = fact_log(store.spark, store.path("facts"))
-    result = full_run(
-        pages, seeds, base, scraped_at, store.products(), store.visited(), batch=batch, known=log, **options
-    )
+    status = result.failed.select("url", F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("unknown"))).alias("reason"))
+    why = F.coalesce("reason", F.lit("no snapshot"))
+    nothing = {"category_path": "string", "seed_ord": "bigint", "sub_pos": "bigint", "is_category": "boolean", "ord": "array<bigint>"}
+
+    def rows(kind: str, frame: DataFrame, reason: Column, *key: str) -> DataFrame:
+        own = [F.col(c).cast(t).alias(c) if c in frame.columns else F.lit(None).cast(t).alias(c) for c, t in nothing.items()]
+        name = F.sha2(F.to_json(F.struct(F.lit(kind).alias("kind"), *key)), 256)
+        return frame.select(name.alias("key"), F.lit(kind).alias("kind"), "url", reason.alias("reason"), *own)
+
+    missed = result.front.join(result.listings.select("url"), "url", "left_anti").join(status, "url", "left")
+    dropped = result.rejects.withColumnRenamed("page_url", "url")
+    scripts = listing.bad_scripts(result.listings.select(F.col("url").alias("page_url"), "scripts"))
+    out = [
+        rows("listing page", missed, why, "url", "seed_ord"),
+        # The batch, which comes first in the order, is not part of a product's place.
+        rows("product", dropped.withColumn("place", F.slice("ord", 2, 16)), F.col("drop_reason"), "url", "place"),
+        rows("script", scripts.withColumnRenamed("page_url", "url"), F.col("reason"), "url", "script_pos", "bytes"),
+    ]
+    if result.wanted is not None:
+        read = result.reader.facts_read("detail")
+        unread = result.wanted.join(result.unread, "url", "left_semi")
+        lost = result.wanted.join(read.select("url"), "url", "left_anti").join(status, "url", "left")
+        out += [rows("detail page", lost, why, "url"), rows("record", unread, F.lit("no rule reads it"), "url")]
+    united = out[0]
+    for frame in out[1:]:
+        united = united.unionByName(frame)
+    return united
+
+
+def _keep(store: Store, log: PageLog, result: RunResult, scraped_at, batch: int) -> RunResult:
+    """Append a run's facts, products, patches, quarantine and marks."""
     result.reader.save(log)
     if len(log.batches()) >= FOLD_EVERY:
         log.fold()
     inserted, changes = materialize(result.inserted, "inserted"), materialize(result.patches, "patches")
     marks = materialize(result.marks, "marks")
+    aside = materialize(quarantine(result), "quarantine")
     store.append(inserted, batch)
     store.append_patches(changes, batch)
+    store.set_aside(aside, batch)
     store.mark(marks, scraped_at)
     return result
+
+
+def run_into(store: Store, pages: DataFrame, seeds: DataFrame, base: str, scraped_at, batch: int, **options) -> RunResult:
+    """Run against a store and append what is new.
+
+    Facts go first, then products and what was set aside, marks last: after a crash the same call finds the missing parts
+    again without reading a body twice, and the keys keep it from inserting anything twice.
+    """
+    log = fact_log(store.spark, store.path("facts"))
+    result = full_run(
+        pages, seeds, base, scraped_at, store.products(), store.visited(), batch=batch, known=log, **options
+    )
+    return _keep(store, log, result, scraped_at, batch)
+
+
+def replay(store: Store, pages: DataFrame, base: str, scraped_at, batch: int, answers: DataFrame | None = None, skip_details: bool = False) -> RunResult:
+    """Try the pages in quarantine again, and only those: listings and details that can be read now, and details with an answer.
+
+    What succeeds is released; products found now are inserted or patched as in a run.
+    """
+    configure(store.spark)
+    log = fact_log(store.spark, store.path("facts"))
+    aside = materialize(store.quarantined(), "set-aside")
+    front = aside.filter("kind = 'listing page'").select("url", "category_path", "seed_ord", F.col("sub_pos").cast("int").alias("sub_pos"), "is_category")
+    front = frontier.first_in_run(front, "seed_ord")
+    again = aside.filter("kind in ('detail page', 'record')").select("url", "category_path", "ord")
+    result = run_frontier(
+        PageReader(pages, base, log), front, scraped_at, store.products(), store.visited(),
+        skip_details=skip_details, batch=batch, answers=answers, more_details=None if skip_details else frontier.first_in_run(again),
+    )
+    freed = aside.filter("kind = 'listing page'").join(result.listings.select("url"), "url", "left_semi")
+    if not skip_details:
+        read = result.reader.facts_read("detail").select("url").join(result.unread, "url", "left_anti")
+        freed = freed.unionByName(aside.filter("kind in ('detail page', 'record')").join(read, "url", "left_semi"))
+    freed = materialize(freed.select("key"), "freed")
+    _keep(store, log, result, scraped_at, batch)
+    store.release(freed, batch)
+    return result

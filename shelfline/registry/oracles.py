@@ -149,10 +149,11 @@ web AS (
 """
 
 _PROD = """fp AS fingerprint, name AS product_name, brand, sku, category_path, address AS product_url, price, currency,
-  avail AS availability, {descr} AS description, images, rating, review_count"""
+  avail AS availability, {descr} AS description, images, rating, review_count,
+  NULL::VARCHAR AS unit_pack_size, '{{}}' AS specifications, '' AS alternatives"""
 _DET = """{key}name AS product_name, NULL::VARCHAR AS brand, sku, {path} AS category_path, url AS product_url, price,
   'USD' AS currency, avail AS availability, descr AS description, images, NULL::DOUBLE AS rating,
-  NULL::BIGINT AS review_count"""
+  NULL::BIGINT AS review_count, NULL::VARCHAR AS unit_pack_size, '{{}}' AS specifications, '' AS alternatives"""
 _KEY = "md5(url || '|' || coalesce(sku, '')) AS fingerprint, "
 _PRODUCTS = f"SELECT {_PROD.format(descr='descr')} FROM prod"
 _ADDED = f"SELECT {_DET.format(key=_KEY, path='category_path')} FROM added"
@@ -217,8 +218,19 @@ _BODIES = {
         coalesce(avail, '') AS availability, coalesce(descr, '') AS description, '{{}}' AS specifications,
         {_IMAGE_JSON} AS image_urls, '[]' AS alternative_products, coalesce(rating::VARCHAR, '') AS rating,
         coalesce(review_count::VARCHAR, '') AS review_count, '{_STAMP}' AS scraped_at FROM prod""",
-    "incremental_rerun": """SELECT fp AS fingerprint, category_path, CASE WHEN seed_ord < 2 THEN 0 ELSE 1 END::BIGINT AS batch
-        FROM prod""",
+    "incremental_rerun": """SELECT * FROM (
+        WITH listed AS (SELECT fp, address, category_path FROM prod WHERE seed_ord < 2),
+        reached AS (SELECT DISTINCT url FROM wanted WHERE seed_ord < 2),
+        detailed AS (SELECT url, category_path, md5(url || '|' || coalesce(sku, '')) AS fp FROM drec),
+        found AS (SELECT * FROM detailed WHERE url IN (SELECT url FROM reached) AND url NOT IN (SELECT address FROM listed)),
+        later AS (SELECT fp, address, category_path FROM prod WHERE seed_ord >= 2 AND fp NOT IN (SELECT fp FROM found)),
+        last AS (
+          SELECT * FROM detailed WHERE url NOT IN (SELECT url FROM reached) AND url NOT IN (SELECT address FROM listed)
+            AND url NOT IN (SELECT address FROM later))
+        SELECT fp AS fingerprint, category_path, 0::BIGINT AS batch FROM listed
+        UNION ALL SELECT fp, category_path, 0 FROM found
+        UNION ALL SELECT fp, category_path, 1 FROM later
+        UNION ALL SELECT fp, category_path, 1 FROM last)""",
     "page_links": f"""SELECT page_url, pos, href, text, '{BASE}' || rtrim(href, '/') AS link_url FROM (
         SELECT page_url, generate_subscripts(anchors, 1) - 1 AS pos, unnest(anchors) AS a,
           regexp_extract(a, 'href="([^"]*)"', 1) AS href,
@@ -254,7 +266,8 @@ _BODIES = {
         WHERE status = 200 AND raw_name IS NOT NULL""",
     "extract_listing": """SELECT page_url, raw_name AS product_name, raw_brand AS brand, raw_sku AS sku,
         coalesce(address, '') AS product_url, raw_price AS price, currency, raw_avail AS availability,
-        raw_desc AS description, raw_images AS images, rating, review_count FROM placed
+        raw_desc AS description, raw_images AS images, rating, review_count, NULL::VARCHAR AS unit_pack_size,
+        '{}' AS specifications, '' AS alternatives FROM placed
         WHERE status = 200 AND raw_name IS NOT NULL""",
     "price_parse": """SELECT k, CASE k % 9 WHEN 0 THEN pr WHEN 1 THEN ('100' || k || '.5')::DOUBLE WHEN 4 THEN ('-0.' || k || 'e2')::DOUBLE
         WHEN 5 THEN k::DOUBLE WHEN 7 THEN 'Infinity'::DOUBLE END AS price FROM p""",
@@ -286,7 +299,7 @@ _BODIES = {
     "extract_from_responses": f"""SELECT 'Model ' || nm AS product_name, NULL::VARCHAR AS brand, 'm' || k AS sku, '' AS category_path,
         url AS product_url, (k || '.25')::DOUBLE AS price, 'USD' AS currency, 'InStock' AS availability, 'Seen ' || k AS description,
         '{IMAGES}/m/' || k || '.png' AS images, NULL::DOUBLE AS rating, NULL::BIGINT AS review_count,
-        'Box of ' || k AS unit_pack_size, '{{"count":"3","size":"' || k || '"}}' AS specifications
+        'Box of ' || k AS unit_pack_size, '{{"count":"3","size":"' || k || '"}}' AS specifications, '' AS alternatives
         FROM det WHERE k % 12 IN (3, 7)""",
     "validate_rejects": """SELECT page_url, raw_name AS product_name, coalesce(address, '') AS product_url, drop_reason
         FROM tagged WHERE drop_reason IS NOT NULL""",
@@ -307,24 +320,69 @@ _BODIES = {
             _coverage("sku", "sku <> ''"), _coverage("rating", "rating IS NOT NULL"), _coverage("description", "descr <> ''"),
         ]
     ),
-    "merge_enrich": """SELECT prod.fp AS fingerprint, address AS product_url, coalesce(patch.descr, prod.descr) AS description
-        FROM prod LEFT JOIN patch USING (fp)""",
+    "merge_enrich": f"""SELECT {_PROD.format(descr='coalesce(patch.descr, prod.descr)')} FROM prod LEFT JOIN patch USING (fp)""",
     "merge_insert": _ADDED,
-    "detail_job": f"""SELECT {_DET.format(key='', path='category_path')} FROM drec WHERE url NOT IN (SELECT url FROM visits)""",
+    "detail_job": """SELECT * FROM (
+        WITH now AS (SELECT * FROM drec WHERE url NOT IN (SELECT url FROM visits))
+        SELECT 'patch' AS action, f.fp AS key, NULL::VARCHAR AS product_name, r.descr AS description
+        FROM now r JOIN first_addr f ON f.address = r.url WHERE r.descr IS NOT NULL AND f.descr IS NULL
+        UNION ALL
+        SELECT 'insert', md5(url || '|' || coalesce(sku, '')), name, descr FROM now WHERE url NOT IN (SELECT address FROM first_addr)
+        UNION ALL
+        SELECT 'mark', url, NULL, NULL FROM dfront JOIN det USING (url) WHERE url NOT IN (SELECT url FROM visits))""",
+    "streaming_ingest": f"""SELECT {_PROD.format(descr='coalesce(patch.descr, prod.descr)')} FROM prod LEFT JOIN patch USING (fp)
+        UNION ALL {_ADDED}""",
+    "quarantine_replay": """SELECT * FROM (
+        WITH late AS (
+          SELECT placed.*, front.category_path, front.seed_ord, md5(address || '|' || coalesce(sku, '')) AS fp
+          FROM placed JOIN front ON front.url = placed.page_url
+          WHERE placed.status = 503 AND length(raw_name) >= 2 AND address IS NOT NULL),
+        first AS (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY seed_ord, kind, idx, s, k) AS rn FROM late)
+        SELECT fp AS fingerprint, category_path, 0::BIGINT AS batch FROM prod
+        UNION ALL SELECT fp, category_path, 1 FROM first WHERE rn = 1 AND fp NOT IN (SELECT fp FROM prod))""",
+    "run_diff": f"""SELECT * FROM (
+        WITH later AS (
+          SELECT fp, price AS old, descr AS said, currency = 'EUR' AND rating IS NULL AS gone,
+                 CASE review_count WHEN 12 THEN price * 1.6::DOUBLE WHEN 0 THEN price * 1.2::DOUBLE ELSE price END AS young,
+                 CASE WHEN sku LIKE 'SKU%' AND descr IS NULL THEN 'now described' ELSE descr END AS says
+          FROM prod),
+        met AS (
+          SELECT *, concat_ws(',', CASE WHEN old IS DISTINCT FROM young THEN 'price' END,
+                              CASE WHEN said IS DISTINCT FROM says THEN 'description' END) AS fields FROM later)
+        SELECT fp AS fingerprint, CASE WHEN gone THEN 'gone' ELSE 'changed' END AS change, CASE WHEN gone THEN '' ELSE fields END AS fields,
+               old AS price_before, CASE WHEN NOT gone THEN young END AS price_after,
+               coalesce(NOT gone AND abs(young - old) > abs(old) * 0.5::DOUBLE, false) AS price_jump
+        FROM met WHERE gone OR fields <> ''
+        UNION ALL
+        SELECT md5(url || '|' || coalesce(sku, '')), 'new', '', NULL, price, false FROM added)""",
+    "shape_drift": """SELECT * FROM (
+        WITH items AS (SELECT * FROM placed WHERE kind < 2),
+        moved(field, distance) AS (
+          SELECT 'sku', (count(*) FILTER (k % 5 = 2))::DOUBLE / count(*) FROM items
+          UNION ALL SELECT unnest(['description', 'about']), (SELECT (count(*) FILTER (k % 16 < 2))::DOUBLE / count(*) FROM items)
+          UNION ALL SELECT unnest(['@type', 'name', 'brand', 'offers', 'image', 'aggregateRating']), 0::DOUBLE)
+        SELECT field, round(distance, 9) AS distance, distance > 0.1 AS drifted FROM moved)""",
+    "coverage_alert": " UNION ALL ".join(
+        f"SELECT *, total > 0 AND pct < 90.0 AS alert FROM ({_coverage(field, filled)})"
+        for field, filled in [
+            ("price", "price IS NOT NULL"), ("image_urls", "images <> ''"), ("sku", "sku <> ''"), ("rating", "rating IS NOT NULL"),
+            ("description", "descr <> ''"),
+        ]
+    ),
     "full_run": f"""SELECT {_PROD.format(descr='coalesce(patch.descr, prod.descr)')} FROM prod LEFT JOIN patch USING (fp)
         UNION ALL {_ADDED}""",
     "full_run_with_answers": f"""SELECT * FROM (
         WITH read AS (
-          SELECT * FROM drec UNION ALL
+          SELECT *, NULL::VARCHAR AS unit, '{{}}' AS specs FROM drec UNION ALL
           SELECT k, nm, url, 'model', 'Model ' || nm, 'm' || k, (k || '.25')::DOUBLE, 'InStock', 'Seen ' || k,
-                 '{IMAGES}/m/' || k || '.png', dfront.category_path
+                 '{IMAGES}/m/' || k || '.png', dfront.category_path, 'Box of ' || k, '{{"count":"3","size":"' || k || '"}}'
           FROM dfront JOIN det USING (url) WHERE k % 12 IN (3, 7)),
         changed AS (
-          SELECT f.fp, r.descr FROM read r JOIN first_addr f ON f.address = r.url
+          SELECT f.fp, r.descr, r.specs FROM read r JOIN first_addr f ON f.address = r.url
           WHERE r.descr IS NOT NULL AND f.descr IS NULL),
         fresh AS (SELECT * FROM read WHERE url NOT IN (SELECT address FROM first_addr))
-        SELECT {_PROD.format(descr='coalesce(changed.descr, prod.descr)')} FROM prod LEFT JOIN changed USING (fp)
-        UNION ALL SELECT {_DET.format(key=_KEY, path='category_path')} FROM fresh)""",
+        SELECT {_PROD.format(descr='coalesce(changed.descr, prod.descr)').replace("'{}' AS", "coalesce(changed.specs, '{}') AS")} FROM prod LEFT JOIN changed USING (fp)
+        UNION ALL SELECT {_DET.format(key=_KEY, path='category_path').replace("NULL::VARCHAR AS unit_pack_size, '{}' AS", "unit AS unit_pack_size, specs AS")} FROM fresh)""",
     "script_rejects": """SELECT DISTINCT page_url, 0::BIGINT AS script_pos, 'not JSON' AS reason FROM placed WHERE kind < 2""",
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
@@ -11,11 +13,12 @@ from pyspark.sql import functions as F
 from ..functions import jsonld, markup, numbers
 from ..functions.keys import fingerprint
 from ..operators import classify as typing_
-from ..operators import detail, frontier, listing, merge, reports, validate
-from ..plans import jobs
+from ..operators import detail, frontier, listing, merge, monitor, reports, validate
+from ..plans import facts, jobs
 from ..samples import catalog
-from ..session import configure, materialize
+from ..session import configure, materialize, scratch_dir
 from ..sources import export, snapshots, store
+from ..streaming import incremental
 
 BASE, AT = catalog.BASE, catalog.FETCHED
 
@@ -26,6 +29,10 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def scratch(self, label: str) -> str:
+        """A new folder that all executors share."""
+        return os.path.join(scratch_dir(self.spark), f"{label}-{uuid.uuid4().hex}")
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -118,6 +125,7 @@ def _flat_columns(df: DataFrame) -> list:
     return [
         *keys, "product_name", "brand", "sku", "category_path", "product_url", "price", "currency",
         "availability", "description", F.array_join("image_urls", "|").alias("images"), "rating", "review_count",
+        "unit_pack_size", F.to_json("specifications").alias("specifications"), F.array_join("alternative_products", "|").alias("alternatives"),
     ]
 
 
@@ -168,11 +176,60 @@ def _export_csv_rows(t: Tables) -> DataFrame:
 
 
 def _incremental_rerun(t: Tables) -> DataFrame:
-    pages, seeds = t.history, catalog.seeds(t.part)
-    first = jobs.full_run(pages, seeds, BASE, AT, limit=2, skip_details=True)
-    visited = first.marks.select("url", F.lit("visited").alias("status"))
-    second = jobs.full_run(pages, seeds, BASE, AT, first.products, visited, skip_details=True, batch=1)
-    return second.products.select("fingerprint", "category_path", F.get("ord", F.lit(0)).alias("batch"))
+    """Two categories first, then all, against one store: facts, visits and products carry over."""
+    pages, seeds = materialize(t.history, "pages"), catalog.seeds(t.part)
+    kept = store.Store(t.spark, t.scratch("store"))
+    jobs.run_into(kept, pages, seeds, BASE, AT, 0, limit=2)
+    jobs.run_into(kept, pages, seeds, BASE, AT, 1)
+    return kept.products().select("fingerprint", "category_path", "batch")
+
+
+def _streaming_ingest(t: Tables) -> DataFrame:
+    """The shop's page files in micro-batches of mixed pages, folded on the way."""
+    source = t.scratch("incoming")
+    t.history.repartition(6, F.xxhash64("url")).write.parquet(source)
+    log, seeds = facts.fact_log(t.spark, t.scratch("log")), catalog.seeds(t.part)
+    incremental.ingest_shop(t.spark, source, log, t.scratch("checkpoint"), seeds, BASE, max_files=2, fold_every=2).awaitTermination()
+    return flat(incremental.shop_run(log, seeds, BASE, AT).products)
+
+
+def _quarantine_replay(t: Tables) -> DataFrame:
+    """A run that could not read some listings, and a replay of those when they can be read."""
+    pages, kept = materialize(t.history, "pages"), store.Store(t.spark, t.scratch("store"))
+    jobs.run_into(kept, pages, catalog.seeds(t.part), BASE, AT, 0, skip_details=True)
+    mended = t.listing_pages.filter("status = 503").select(
+        "url", F.lit(200).alias("status"), "html", (F.lit(AT).cast("timestamp") + F.expr("INTERVAL 1 DAY")).alias("fetched_at")
+    )
+    jobs.replay(kept, pages.unionByName(materialize(mended, "mended")), BASE, AT, 1, skip_details=True)
+    return kept.products().select("fingerprint", "category_path", "batch")
+
+
+def _run_diff(t: Tables) -> DataFrame:
+    """The listing products against a later state of them: some gone, some dearer, some described, details added."""
+    before = materialize(t.products, "before")
+    later = before.filter(~((F.col("currency") == "EUR") & F.col("rating").isNull())).withColumns({
+        "price": F.when(F.col("review_count") == 12, F.col("price") * 1.6).when(F.col("review_count") == 0, F.col("price") * 1.2).otherwise(F.col("price")),
+        "description": F.when(F.startswith("sku", F.lit("SKU")) & F.col("description").isNull(), "now described").otherwise(F.col("description")),
+    })
+    _, added, _ = _detail_parts(t, before)
+    found = monitor.run_diff(before, later.unionByName(added))
+    return found.withColumn("fields", F.array_join("fields", ","))
+
+
+def _shape_drift(t: Tables) -> DataFrame:
+    """The listings' products against the same with numbers as text and one field renamed."""
+
+    def shapes(pages: DataFrame) -> DataFrame:
+        scripted = listing.jsonld_scripts(pages.select(F.col("url").alias("page_url"), "html"), "ItemList")
+        return monitor.shape_histogram(listing.listing_elements(listing.jsonld_itemlists(listing.jsonld_blocks(scripted))))
+
+    changed = F.replace(F.regexp_replace("html", '"sku":([0-9]+)', '"sku":"$1"'), F.lit('"description":'), F.lit('"about":'))
+    found = monitor.shape_drift(shapes(t.listing_pages), shapes(t.listing_pages.withColumn("html", changed)))
+    return found.withColumn("distance", F.round("distance", 9))
+
+
+def _coverage_alert(t: Tables) -> DataFrame:
+    return jobs.full_run(t.history, catalog.seeds(t.part), BASE, AT, skip_details=True).coverage
 
 
 def _page_links(t: Tables) -> DataFrame:
@@ -385,7 +442,7 @@ def _extract_requests(t: Tables) -> DataFrame:
 def _extract_from_responses(t: Tables) -> DataFrame:
     answers = catalog.model_answers(t.part)
     found = detail.extract_detail(t.details, answers).filter("extracted_by = 'model'").select("record.*")
-    return found.select(*_flat_columns(found), "unit_pack_size", F.to_json("specifications").alias("specifications"))
+    return found.select(*_flat_columns(found))
 
 
 def _validate_rejects(t: Tables) -> DataFrame:
@@ -435,7 +492,7 @@ def _detail_parts(t: Tables, products: DataFrame):
 def _merge_enrich(t: Tables) -> DataFrame:
     products = materialize(t.products, "products")
     changes, _, _ = _detail_parts(t, products)
-    return merge.apply_patches(products, changes).select("fingerprint", "product_url", "description")
+    return flat(merge.apply_patches(products, changes))
 
 
 def _merge_insert(t: Tables) -> DataFrame:
@@ -451,8 +508,12 @@ def _listing_job(t: Tables) -> DataFrame:
 
 
 def _detail_job(t: Tables) -> DataFrame:
-    found, _ = jobs.detail_records(t.linked, t.detail_facts, _visits(t))
-    return flat(found)
+    """What the job writes: patches, inserts and marks, with some addresses visited before."""
+    changes, added, reached = jobs.detail_job(materialize(t.products, "products"), t.linked, t.detail_facts, AT, _visits(t))
+    none = F.lit(None).cast("string")
+    patched = changes.select(F.lit("patch").alias("action"), F.col("fingerprint").alias("key"), none.alias("product_name"), F.col("new_description").alias("description"))
+    inserted = added.select(F.lit("insert").alias("action"), F.col("fingerprint").alias("key"), "product_name", "description")
+    return patched.unionByName(inserted).unionByName(reached.select(F.lit("mark").alias("action"), F.col("url").alias("key"), none.alias("product_name"), none.alias("description")))
 
 
 def _full_run(t: Tables) -> DataFrame:
@@ -479,7 +540,8 @@ _QUERIES = [
     _extract_detail, _extract_requests, _extract_from_responses, _validate_rejects, _clean_text, _validate_products,
     _price_sanity, _dedup_first, _validation_stats, _validation_summary, _category_report, _field_coverage,
     _merge_enrich, _merge_insert, _listing_job, _detail_job, _full_run,
-    _full_run_with_answers, _script_rejects,
+    _full_run_with_answers, _script_rejects, _streaming_ingest, _quarantine_replay, _run_diff, _shape_drift,
+    _coverage_alert,
 ]
 
 

@@ -19,6 +19,9 @@ from ..session import materialize, narrow
 from .log import FOLD_EVERY, PageLog
 from .snapshots import VERSION
 
+#: Listings and details that were not readable, details no rule could read, products that were dropped, scripts that are not JSON;
+#: for the pages also what a replay needs to put them in their place.
+QUARANTINE = "key string, kind string, url string, reason string, category_path string, seed_ord bigint, sub_pos bigint, is_category boolean, ord array<bigint>, batch bigint"
 PATCH_DDL = "fingerprint string, new_description string, new_specifications map<string,string>, batch bigint"
 
 
@@ -133,6 +136,18 @@ class Store:
     def visited(self) -> DataFrame:
         return self._read("visited", VISITED)
 
+    def quarantined(self) -> DataFrame:
+        """What a run could not use and no replay has released since, one row per key."""
+        return self._read("quarantine", QUARANTINE).join(self._read("released", "key string, batch bigint").select("key"), "key", "left_anti")
+
+    def set_aside(self, rows: DataFrame, batch: int) -> None:
+        """Append rows of ``QUARANTINE`` that are not stored yet, released or not."""
+        fresh = rows.join(self._read("quarantine", QUARANTINE).select("key"), "key", "left_anti").dropDuplicates(["key"])
+        fresh.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(self.path("quarantine"))
+
+    def release(self, keys: DataFrame, batch: int) -> None:
+        keys.select("key").distinct().withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(self.path("released"))
+
     def ordered(self) -> DataFrame:
         """All products with their dense id in insertion order."""
         return number_rows(self.products(), "batch", "ord").drop("batch", "ord")
