@@ -1,22 +1,25 @@
 """Main text of web pages: flat text blocks classified by a decision tree.
 
 A page is split at block-level tags into flat blocks. A block is described by its words and link density, those of its
-neighbours, and where it stands (inside an article, below an element whose tag or class names furniture, heading, list).
+neighbours (the ``REACH`` blocks on either side), and where it stands (inside an article, below an element whose tag or class
+names furniture, heading, list). So a short line between long ones stays, and one of the same length among links goes.
 A form or an element with a furniture name does not count as furniture if it wraps the page's main part (see ``_wraps``),
 and the names of html, body, main and article do not count. A decision tree, trained here on the small labelled pages below, keeps or drops each block.
 
 Defined cases: null and empty html give an empty text; so does a page without a kept block; unclosed elements end with
-the nearest enclosing end tag, unclosed comments and scripts at the end of the page; very long pages are read whole, in
-one pass; repeated rows get equal answers; null ids and addresses are carried; an empty table gives an empty result;
+the nearest enclosing end tag (an unclosed svg where the next block begins), unclosed comments and scripts at the end of the
+page; very long pages are read whole, in one pass; repeated rows get equal answers; null ids and addresses are carried; an empty table gives an empty result;
 other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -32,6 +35,9 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 FURNITURE_TAGS = frozenset("nav header footer aside menu button select dialog fieldset".split())
+#: Elements whose text is not shown; they may hold others.
+HIDDEN_TAGS = frozenset(["svg", "noscript", "template", "math"])
+FOREIGN_TAGS = frozenset(["svg", "math"])
 CONTENT_TAGS = frozenset(["article", "main"])
 #: Their names tell about the page or the article as a whole, not about a part of it.
 UNNAMED_TAGS = frozenset(["html", "body", "main", "article"])
@@ -44,7 +50,7 @@ FURNITURE_WORDS = frozenset(
 )
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
-      | <(?P<raw>script|style|noscript|template|title|svg|iframe|textarea|object)\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)
+      | <(?P<raw>script|style|title|iframe|textarea|noembed|noframes|xmp)\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)
       | <(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
       | <(?P<end2>/?)(?P<tag2>[a-z][a-z0-9:-]*+)(?P<rest2>[^>]*+)>
       | <[!?/][^>]*+>""",
@@ -99,7 +105,8 @@ def blocks(html: str) -> list[Block]:
     boxes: list[Box] = []
     articles = 0
     pieces: list[str] = []
-    depth = {"a": 0, "content": 0, "furniture": 0, "heading": 0, "li": 0, "marked": 0}
+    depth = {"a": 0, "content": 0, "furniture": 0, "heading": 0, "li": 0, "marked": 0, "hidden": 0}
+    open_names: Counter[str] = Counter()
     linked = 0
 
     def change(tag: str, furniture: bool, marked: bool, by: int) -> None:
@@ -109,6 +116,8 @@ def blocks(html: str) -> list[Block]:
         depth["heading"] += by * (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
         depth["li"] += by * (tag in ("li", "dt", "dd", "td", "th", "option"))
         depth["marked"] += by * marked
+        depth["hidden"] += by * (tag in HIDDEN_TAGS)
+        open_names[tag] += by
 
     def leave() -> str:
         name, furniture, marked, box = stack.pop()
@@ -128,6 +137,8 @@ def blocks(html: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
+        if depth["hidden"]:
+            return
         pieces.append(text)
         if depth["a"]:
             linked += len(text.split())
@@ -145,16 +156,21 @@ def blocks(html: str) -> list[Block]:
             if at == end and OPEN.match(token[0]) and not CLOSED.search(token[0]):
                 tail = ""  # an unclosed comment or script takes the rest
             continue
+        ends = token["end"] or token["end2"]
         if tag in BLOCK_TAGS:
+            while not ends and depth["hidden"] and (open_names["svg"] or open_names["math"]):  # a block is no part of a drawing
+                leave()
             close()
         if tag in VOID_TAGS:
             continue
-        if token["end"] or token["end2"]:
-            if any(name == tag for name, *_ in stack):
+        if ends:
+            if open_names[tag] > 0:
                 while leave() != tag:
                     pass
             continue
         rest = token["rest"] or token["rest2"] or ""
+        if rest.endswith("/") and (tag in FOREIGN_TAGS or open_names["svg"] or open_names["math"]):
+            continue
         if tag in ("p", "li") and stack and stack[-1][0] == tag:  # an unclosed paragraph or item ends where the next begins
             leave()
         furniture, box = tag in FURNITURE_TAGS, None
@@ -188,14 +204,25 @@ def blocks(html: str) -> list[Block]:
     return found
 
 
-FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "in an article", "furniture", "heading", "listed")
+#: Blocks on either side that count as neighbours.
+REACH = 3
+FEATURES = ("furniture", "in an article", "words", "link density", "words before", "link density before", "words after", "link density after", "heading", "listed")
 
 
 def features(found: list[Block]) -> list[tuple[float, ...]]:
-    """One row of ``FEATURES`` per block; beyond the ends of the page there is an empty block."""
-    own = [(float(b.words), min(1.0, b.linked / b.words)) for b in found]
-    edge = [(0.0, 0.0), *own, (0.0, 0.0)]
-    return [(*edge[i + 1], *edge[i], *edge[i + 2], float(b.content), float(b.furniture), float(b.heading), float(b.listed)) for i, b in enumerate(found)]
+    """One row of ``FEATURES`` per block; furniture and the ends of the page are empty neighbours."""
+    words = [0, *accumulate(0 if b.furniture else b.words for b in found)]
+    linked = [0, *accumulate(0 if b.furniture else b.linked for b in found)]
+
+    def side(start: int, stop: int) -> tuple[float, float]:
+        start, stop = max(0, start), min(len(found), stop)
+        n = words[stop] - words[start]
+        return float(n), min(1.0, (linked[stop] - linked[start]) / n) if n else 0.0
+
+    return [
+        (float(b.furniture), float(b.content), float(b.words), min(1.0, b.linked / b.words), *side(i - REACH, i), *side(i + 1, i + 1 + REACH), float(b.heading), float(b.listed))
+        for i, b in enumerate(found)
+    ]
 
 
 class Node(NamedTuple):
@@ -212,7 +239,7 @@ def _impurity(positive: int, total: int) -> float:
     return 2.0 * positive * (total - positive) / total if total else 0.0
 
 
-def grow(rows: list[tuple[float, ...]], labels: list[bool], depth: int = 6) -> Node:
+def grow(rows: list[tuple[float, ...]], labels: list[bool], depth: int = 10) -> Node:
     """A binary tree by Gini impurity; of equal splits the first feature and the lowest threshold win."""
     positive, total = sum(labels), len(labels)
     leaf = Node(-1, 0.0, None, None, 2 * positive > total)
@@ -247,6 +274,8 @@ _LONG = "The river rose again over night and the people of the lower town carrie
 _MIDDLE = "Nobody had expected the bridge to hold for as long as it did that winter."
 _LINKS = "".join(f'<li><a href="/{x}">{x}</a></li>' for x in ("Home", "World news", "Local", "Sport", "Contact us"))
 _TAIL = '<footer>&copy; 2020 The Paper. All rights reserved by the owners and their partners.</footer>'
+_TEASER = "Eleven words tell what the story behind the link is about."
+_TEASERS = "".join(f'<div><a href="/{x}">The story of the {x} and all that came of it</a></div><div>{_TEASER}</div>' for x in ("mill", "ferry", "well"))
 _K = KEEP_MARK
 
 #: The labelled table: small pages whose main blocks carry the mark.
@@ -268,6 +297,13 @@ LABELLED = [
     f'<html class="has-nav"><body class="has-sidebar"><div id="page-header-fixed"><nav><ul>{_LINKS}</ul></nav><article class="post share-enabled" {_K}><h1>Ebb</h1><p>{_LONG}</p><p>{_MIDDLE}</p></article><div class="sidebar"><p>{_LONG}</p></div></div>{_TAIL}</body></html>',
     f'<form action="/"><div class="header">{_MIDDLE}</div><div {_K}><h2>Salt</h2><p>{_LONG}</p><p>{_LONG}</p><p>{_MIDDLE}</p></div><div id="comments"><p>{_LONG}</p></div></form>',
     f'<ul>{_LINKS}</ul><p><a href="/l">Log in</a> | <a href="/r">Register now</a></p><div {_K}><p>{_LONG}</p><p>{_MIDDLE}</p></div><ul>{_LINKS}</ul>',
+    f'<div>{_LINKS}</div><div>Menu</div><div {_K}><div>{_LONG}</div><div>"No," she said.</div><div>"Why?"</div><div>{_MIDDLE}</div><div>{_LONG}</div></div><div>Back to top</div><div>{_LINKS}</div>',
+    f'<div>{_LINKS}</div><div {_K}><p>{_LONG}</p><table><tr><td>Cell one</td><td>12</td></tr><tr><td>Cell two</td></tr></table><p>{_LONG}</p><p>"Yes."</p><p>{_LONG}</p></div><div>Print</div>',
+    f'{_TEASERS}<div {_K}><p>{_LONG}</p><p>{_TEASER}</p><p>{_LONG}</p><p>{_TEASER}</p><p>It stopped.</p><p>{_LONG}</p></div>{_TEASERS}',
+    f'<div>{_TEASERS}</div><div {_K}><p>{_MIDDLE}</p><p>He nodded.</p><p>Twice.</p><p>{_MIDDLE}</p></div><div>Share</div><div>{_LINKS}</div>',
+    f'<main {_K}><p>{_LONG}</p><p>12</p><p><a href="/o">Only a link</a></p><ul><li>Tea</li><li><a href="/c">Cups</a></li></ul><p>The end.</p></main><ul>{_LINKS}</ul>',
+    f'<article {_K}><p><a href="/y">Part one</a></p><p>{_LONG}</p><p><a href="/z">Read on at the mill</a></p></article>',
+    f'<article {_K}><p><a href="/w">Only this</a></p></article>{_TAIL}',
 ]
 
 

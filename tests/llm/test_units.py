@@ -231,7 +231,40 @@ def test_html_tree_answers_its_own_table():
         assert [html_text.decide(tree, r) for r in html_text.features(found)] == [b.marked for b in found]
 
 
-@pytest.mark.parametrize("text", ["<p>" * 20000, "<a href='" * 20000, "<!--" * 20000, "<div class=\"" + "x" * 100000])
+STORY = "The miller kept his books in the old barn by the river, and nobody asked him why he did so. " * 2
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ('<header><svg class="logo"/></header><article><p>{s}</p></article>', "{s}"),
+    ('<article><p>{s}</p><svg class="i" viewBox="0 0 1 1" /><p>Second.</p></article>', "{s} Second."),
+    ('<article><p>{s}</p><svg><path d="M0"/><text>Chart label</text></svg><p>Second.</p></article>', "{s} Second."),
+    ('<article><p>{s}</p><svg><text>Open drawing<p>Second.</p><p>Third.</p></article>', "{s} Second. Third."),
+    ('<article><p>{s}</p><object data="x"><p>Shown instead.</p><p>Third.</p></article>', "{s} Shown instead. Third."),
+    ('<article><p>{s}</p><noscript><p>No script.</p></noscript><template><p>Later.</p></template><p>Second.</p></article>', "{s} Second."),
+    ('<div><p>{s}</p><p>"No," she said.</p><p>"Why?"</p><p>{s}</p></div>', '{s} "No," she said. "Why?" {s}'),
+    ("<div><p>{s}</p><table><tr><td>Cell one</td><td>12</td></tr></table><p>{s}</p></div>", "{s} Cell one 12 {s}"),
+    ("<article><p>12</p><h2>A</h2><ul><li><a href='/x'>y</a></li></ul><p>{s}</p><p>End</p></article>", "12 A y {s} End"),
+    ('<ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul><div>Menu</div><div><p>{s}</p><p>{s}</p></div><div>Menu</div><ul><li><a href="/c">Old</a></li></ul>', "{s} {s}"),
+])
+def test_html_blocks_by_their_neighbours(page, want):
+    story = STORY.strip()
+    assert html_text.main_text(page.replace("{s}", story)) == want.replace("{s}", story)
+
+
+def test_html_tree_uses_neighbours():
+    used = set()
+
+    def walk(node):
+        if node.left is not None:
+            used.add(html_text.FEATURES[node.feature])
+            walk(node.left)
+            walk(node.right)
+
+    walk(html_text.trained())
+    assert used & {"words before", "words after", "link density before", "link density after"}
+
+
+@pytest.mark.parametrize("text", ["<i>" * 20000 + "</b>" * 20000, "<i>" * 20000 + "<p>x</i>" * 20000, "<svg>" * 20000 + "<p>" * 20000, "<p>" * 20000, "<a href='" * 20000, "<!--" * 20000, "<div class=\"" + "x" * 100000])
 def test_html_stays_linear_on_broken_pages(text):
     import time
 
