@@ -255,12 +255,43 @@ def test_tool_calls(spark):
     assert {k: (r.level, r.status) for k, r in got.items()} == {
         (1, "a"): (0, "ok"), (1, "b"): (1, "wrong argument type"), (1, "c"): (2, "missing argument"), (1, "d"): (3, "unreadable arguments"), (1, "e"): (4, "unknown tool"),
         (1, "f"): (0, "unknown call referred to"), (1, "g"): (None, "cycle"), (1, "h"): (None, "cycle"), (2, "a"): (0, "surplus argument"), (2, "b"): (0, "no result"), (3, "q"): (None, "result without a call"),
+        (2, None): (None, "call without an identifier"), (None, "a"): (None, "call without an identifier"),
     }
     assert got[2, "a"].copies == 2
     assert got[1, "a"].record == '{"arguments":{"x":1,"y":2},"call_id":"a","name":"add","result":"3"}'
     assert toolcalls.link(calls.limit(0), results.limit(0), schemas).count() == 0
 
 
+def test_tool_calls_lose_nothing_under_one_identifier(spark):
+    kinds = "conv_id bigint, call_id string, after string, name string, arguments string"
+    calls = [(1, "a", None, "add", '{"x":1}'), (1, "a", None, "add", '{"x":2}'), (1, "a", None, "add", '{"x":2}'), (1, "a", None, "add", None), (1, "b", "a", "add", '{"x":3}'),
+             (None, None, None, None, None), (None, None, None, None, None), (1, "c", None, "add", '{"x":4}')]
+    results = [(1, "b", "r"), (1, "b", "s"), (1, None, "lost"), (1, "c", "t"), (1, "c", "t")]
+    schemas = spark.createDataFrame([("add", "x", "number", True)], "name string, parameter string, type string, required boolean")
+    got = toolcalls.link(spark.createDataFrame(calls, kinds), spark.createDataFrame(results, "conv_id bigint, call_id string, content string"), schemas)
+    record = '{"arguments":%s,"call_id":%s,"name":%s,"result":%s}'
+    add = '"add"'
+    want = Counter([
+        (1, "a", 0, "conflicting calls", 1, record % ("null", '"a"', add, "null")), (1, "a", None, "conflicting calls", 1, record % ('{"x":1}', '"a"', add, "null")),
+        (1, "a", None, "conflicting calls", 2, record % ('{"x":2}', '"a"', add, "null")), (1, "b", 1, "conflicting results", 1, record % ('{"x":3}', '"b"', add, '"r"')),
+        (1, "b", None, "conflicting results", 1, record % ("null", '"b"', "null", '"s"')), (1, "c", 0, "ok", 1, record % ('{"x":4}', '"c"', add, '"t"')),
+        (None, None, None, "call without an identifier", 2, record % ("null", "null", "null", "null")),
+        (1, None, None, "result without an identifier", 1, record % ("null", "null", "null", '"lost"')),
+    ])
+    assert Counter((r.conv_id, r.call_id, r.level, r.status, r.copies, r.record) for r in got.collect()) == want
+
+
+def test_canonical_numbers(spark):
+    cases = {
+        '{"x":100}': '{"x":100}', '{"x":1e2}': '{"x":100}', '{"x":1.0}': '{"x":1}', '{"x":-0.50}': '{"x":-0.5}', '{"x":-0.0}': '{"x":0}', '{"x":15E-1}': '{"x":1.5}',
+        '{"b":[1.10,"1.10",{"c":2.0}],"a":"x 1.0 \\" 2e3"}': '{"a":"x 1.0 \\" 2e3","b":[1.1,"1.10",{"c":2}]}', '{"x":1e30}': '{"x":1E30}', '{"x":1.0E30}': '{"x":1E30}',
+        '{"x":12345678901234567890}': '{"x":12345678901234567890}', '{"x":0.1234567890123456789}': '{"x":0.1234567890123456789}', "{}": "{}", '{"x":1e-7}': '{"x":0.0000001}',
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "j string")
+    got = {r.j: r.c for r in rows.select("j", toolcalls.canonical(F.to_json(F.try_parse_json("j"))).alias("c")).collect()}
+    assert got == cases
+
+
 def test_long_chain_of_calls(spark):
     chain = spark.range(300).selectExpr("1L AS conv_id", "cast(id AS string) AS call_id", "if(id = 0, null, cast(id - 1 AS string)) AS after")
     assert {int(r.call_id): r.level for r in toolcalls.levels(chain).collect()} == {i: i for i in range(300)}
