@@ -201,8 +201,9 @@ def _coverage(field: str, filled: str) -> str:
 
 
 _BODIES = {
-    "page_snapshot": f"""SELECT url, status::BIGINT AS status FROM shop
-        WHERE url IN (SELECT url FROM cats) OR url IN (SELECT address FROM truth WHERE address IS NOT NULL)""",
+    "page_snapshot": f"""SELECT url, status::BIGINT AS status, NULL::VARCHAR AS body_md5 FROM shop
+        WHERE url IN (SELECT url FROM cats) OR url IN (SELECT address FROM truth WHERE address IS NOT NULL)
+        UNION ALL SELECT url, 200, md5(min(html)) FROM pages GROUP BY url HAVING count(DISTINCT html) = 1""",
     "page_status_split": """SELECT url, status::BIGINT AS status, CASE WHEN status = 200 THEN 'read' ELSE 'skipped' END AS outcome
         FROM shop""",
     "seed_frontier": "SELECT seed_ord, url, cname AS category_name FROM cats WHERE seed_ord < 4",

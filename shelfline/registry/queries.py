@@ -131,8 +131,13 @@ def _flat_columns(df: DataFrame) -> list:
 
 def _page_snapshot(t: Tables) -> DataFrame:
     addresses = t.part.select(F.col("p_partkey").alias("k")).select(catalog.product_address().alias("url"))
-    wanted = t.seeds.select("url").unionByName(addresses.filter("url is not null").distinct())
-    return snapshots.snapshot(wanted, t.history).select("url", F.col("status").cast("bigint").alias("status"))
+    # The supplied pages have an older snapshot with another body each, and are stored twice.
+    web = catalog.stamped(t.web.drop("page_id"))
+    older = web.withColumns({"html": F.concat("html", F.lit("old")), "fetched_at": F.col("fetched_at") - F.expr("INTERVAL 1 DAY")})
+    pages = t.history.unionByName(web).unionByName(web).unionByName(older)
+    wanted = t.seeds.select("url").unionByName(addresses.filter("url is not null").distinct()).unionByName(t.web.select("url").distinct())
+    body = F.when(~F.startswith("url", F.lit(BASE)), F.md5("html"))
+    return snapshots.snapshot(wanted, pages).select("url", F.col("status").cast("bigint").alias("status"), body.alias("body_md5"))
 
 
 def _page_status_split(t: Tables) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PAGES
-from ..session import narrow
+from ..session import is_small, materialize, narrow
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -46,9 +46,25 @@ def newest_readable(compact: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def snapshot(frontier: DataFrame, pages: DataFrame) -> DataFrame:
-    """Frontier rows with the status and body of their page; rows without a snapshot are left out."""
-    near = narrow(pages, frontier.select("url"))
-    return frontier.join(newest(with_version(near)).select("url", "status", "html"), "url")
+    """Frontier rows with the status and body of their page; rows without a snapshot are left out.
+
+    The newest snapshots are ranked by keys alone (a body gives its hash where it lies). The winners then go to the bodies: as a
+    broadcast where they are proven small, so no body is shuffled at all; else only the winners' bodies are.
+    """
+    near = with_version(narrow(pages, frontier.select("url")))
+    keys = near.groupBy("url", *VERSION).agg(F.count(F.lit(1)).alias("_copies"))
+    order = [F.col("fetched_at").desc_nulls_last(), F.col("status").asc_nulls_last(), F.col("body_hash")]
+    ranked = keys.withColumn("_rank", F.row_number().over(Window.partitionBy("url").orderBy(*order))).filter("_rank = 1").drop("_rank")
+    winners = materialize(frontier.join(ranked, "url"), "winners")
+    hint = F.broadcast if is_small(winners) else (lambda df: df)
+    left, right = near.select("url", "html", *VERSION).alias("p"), hint(winners).alias("w")
+    same = [F.col("p.url") == F.col("w.url"), *[F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in VERSION]]
+    met = left.join(right, same).select(*[F.col(f"w.{c}") for c in frontier.columns], "w.status", "p.html", "_copies")
+    # The same snapshot may be stored many times; only then do equal rows meet to leave one.
+    if not winners.filter("_copies > 1").limit(1).collect():
+        return met.drop("_copies")
+    once, often = met.filter("_copies = 1"), met.filter("_copies > 1")
+    return once.unionByName(often.dropDuplicates()).drop("_copies")
 
 
 def ok_pages(pages: DataFrame) -> DataFrame:

@@ -214,3 +214,19 @@ def test_any_order_of_files_gives_one_table(spark, shop, full, tmp_path, order,
     # The same files under a new checkpoint are a replay of all pages.
     incremental.ingest_shop(spark, str(source), log, str(tmp_path / "cp2"), seeds, BASE, max_files=4, fold_every=fold_every).awaitTermination()
     assert table(incremental.shop_run(log, seeds, BASE, AT).products) == table(full.products)
+
+
+def test_snapshot_bodies_do_not_move(spark, monkeypatch):
+    at = [datetime.datetime(2024, 1, d) for d in (1, 2)]
+    rows = [("a", 200, "old", at[0]), ("a", 200, "new", at[1]), ("a", 200, "new", at[1]), ("b", 200, "x", None), ("b", 200, "y", None), ("c", 500, None, at[0])]
+    front = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "url string, n int")
+    pages = spark.createDataFrame(rows, PAGES)
+    got = snapshots.snapshot(front, pages)
+    assert got.columns == ["url", "n", "status", "html"]
+    first = {r.url: (r.n, r.status, r.html) for r in got.collect()}
+    assert got.count() == 3 and first["a"] == (1, 200, "new") and first["c"] == (3, 500, None) and first["b"][2] in ("x", "y")
+    once = snapshots.snapshot(front, spark.createDataFrame(list(dict.fromkeys(rows)), PAGES))
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "html" in line] and "BroadcastHashJoin" in plan
+    monkeypatch.setattr(snapshots, "is_small", lambda df: False)
+    assert {r.url: (r.n, r.status, r.html) for r in snapshots.snapshot(front, pages).collect()} == first
