@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +51,45 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+class _Scopes(threading.local):
+    """What was written for a while, by open scope of this thread: folders, and tables that point into folders."""
+
+    def __init__(self):
+        self.open: list[list[tuple[str, str]]] = []
+
+
+_scopes = _Scopes()
+
+
+def written(kind: str, name: str) -> None:
+    """Note a scratch ``folder`` or ``table`` for the scope that is open, if any."""
+    if _scopes.open:
+        _scopes.open[-1].append((kind, name))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables written inside when it ends, also after an error.
+
+    Frames that read them are of no use afterwards, so what is to stay is written inside, by the caller's own write.
+    """
+    _scopes.open.append([])
+    try:
+        yield
+    finally:
+        for kind, name in _scopes.open.pop():
+            if kind == "table":
+                spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+            else:
+                remove_folder(spark, name)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -56,6 +98,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    written("folder", path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -18,7 +18,7 @@ from ..operators.listing import extract_scripts, jsonld_scripts
 from ..plans.facts import StoredReader, newest_rows
 from ..plans.jobs import RunResult, page_facts, run_over, stamp
 from ..schemas import PAGES
-from ..session import configure, materialize
+from ..session import configure, materialize, scratch_scope
 from ..sources.log import FOLD_EVERY, PageLog, newest_versions
 from ..sources.snapshots import VERSION, newest_readable, ok_pages, with_version
 from ..sources.store import Store
@@ -73,8 +73,9 @@ def ingest(
 
     def insert(pages: DataFrame, epoch: int) -> None:
         batch = first_batch + epoch
-        versions = materialize(page_versions(pages), "versions")
-        store.list_pages(page_products(pages, versions, scraped_at, batch, frontier), versions, batch, batch_name(pages, checkpoint, epoch), fold_every)
+        with scratch_scope(spark):
+            versions = materialize(page_versions(pages), "versions")
+            store.list_pages(page_products(pages, versions, scraped_at, batch, frontier), versions, batch, batch_name(pages, checkpoint, epoch), fold_every)
 
     return _start(spark, source, checkpoint, insert, max_files)
 
@@ -122,8 +123,9 @@ def ingest_shop(
     start = links.seed_frontier(seeds, base)
 
     def insert(pages: DataFrame, epoch: int) -> None:
-        rows, versions = read_batch(pages, start, base)
-        log.append(batch_name(pages, checkpoint, epoch), rows, versions)
+        with scratch_scope(spark):
+            rows, versions = read_batch(pages, start, base)
+            log.append(batch_name(pages, checkpoint, epoch), rows, versions)
         if len(log.batches()) >= fold_every:
             log.fold()
 
