@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import configure
+from ..session import configure, scratch_dir, written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that an Arrow function works on at once, whatever the batch brought.
@@ -34,6 +36,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``df`` written in buckets by a key, so that joins on it leave the rows where they are; gone with its scratch scope."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    path = os.path.join(scratch_dir(spark), name)
+    written("table", name)
+    written("folder", path)
+    df.write.option("compression", "zstd").option("path", path).bucketBy(parts(spark), key).saveAsTable(name)
+    return spark.table(name)
+
+
 def kind(df: DataFrame, column: str) -> str:
     """The DDL type of a column, for the schema of an Arrow function."""
     return df.schema[column].dataType.simpleString()

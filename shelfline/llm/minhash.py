@@ -28,9 +28,6 @@ not read.
 
 from __future__ import annotations
 
-import math
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_dir
-from .common import kind, parts, slices
+from ..session import materialize
+from .common import bucketed, kind, parts, slices
 from .graph import components
 from .shingles import identity, shingle_sets
 
@@ -121,9 +118,7 @@ def nodes(docs: DataFrame, text: str) -> DataFrame:
 
     found = rows.mapInArrow(read, "node bigint, marks binary, text string").dropDuplicates(["node"])
     # Buckets let every later join by node leave the texts where they are.
-    name = f"nodes_{uuid.uuid4().hex}"
-    found.write.option("compression", "zstd").option("path", os.path.join(scratch_dir(docs.sparkSession), name)).bucketBy(parts(docs.sparkSession), "node").saveAsTable(name)
-    return docs.sparkSession.table(name)
+    return bucketed(found, "nodes", "node")
 
 
 def common_coordinates(found: DataFrame) -> np.ndarray:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binaries, kind, parts, ragged, slices
+from .common import binaries, kind, parts, slices
 from .tokens import encoder
 
 END = 2

@@ -22,8 +22,6 @@ copies; an empty table gives an empty result; other columns are not read. Ids ar
 from __future__ import annotations
 
 import hashlib
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_dir
-from .common import bytes_of, parts, slices
+from ..session import materialize
+from .common import bucketed, bytes_of, parts, slices
 from .shingles import mixed
 
 LENGTH, GRAM = 100, 32
@@ -98,10 +96,7 @@ def texts_of(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     least = least.select("digest", F.col("least.doc_id").alias("doc_id"), F.col("least.sub").alias("sub"))
     firsts = base.select("doc_id", "digest", "text").dropDuplicates(["doc_id", "digest"]) if rows.filter("n > 1").limit(1).count() else base.select("doc_id", "digest", "text")
     texts = firsts.join(least, ["doc_id", "digest"]).select("doc_id", "sub", "digest", "text")
-    name = f"texts_{uuid.uuid4().hex}"
-    placed = texts.repartition(parts(spark), "doc_id")
-    placed.write.option("compression", "zstd").option("path", os.path.join(scratch_dir(spark), name)).bucketBy(parts(spark), "doc_id").saveAsTable(name)
-    return rows, spark.table(name)
+    return rows, bucketed(texts.repartition(parts(spark), "doc_id"), "texts", "doc_id")
 
 
 def repeated_anchors(texts: DataFrame) -> DataFrame:
