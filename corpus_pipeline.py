@@ -6,13 +6,16 @@ and reads it again as the next stage's documents. All but the last return the co
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import exact, langid, minhash, mixing, packing
 from shelfline.llm.common import prepare
 from shelfline.llm.registry import TOKENIZER, domain_of, mixing_weights
-from shelfline.session import materialize
+from shelfline.session import remove_folder, scratch_dir, scratch_scope
 
 #: Share of the tokens that the mixture may hold, each document at most once.
 SHARE, EPOCHS = 0.9, 1
@@ -56,8 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents. A stage's scratch goes when its result is written, and that when the next one's is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = os.path.join(scratch_dir(spark), f"{name.replace(' ', '-')}-{uuid.uuid4().hex}")
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
