@@ -7,6 +7,8 @@ import pyarrow as pa
 import xxhash
 
 WORDS = 5
+#: Bytes of the longest word that is hashed as a power sum.
+LONG_WORD = 128
 # Blanks between words, an odd multiplier for bytes, its inverse modulo 2 ** 64, multipliers for words.
 BLANKS = np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8)
 STEP = 0x9E3779B97F4A7C15
@@ -55,6 +57,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sums = np.zeros(len(folded) + 1, dtype=np.uint64)
     np.cumsum((folded.astype(np.uint64) + np.uint64(1)) * forward[: len(folded)], out=sums[1:])
     hashes = mixed((sums[stop] - sums[start]) * back[start] + (stop - start).astype(np.uint64))
+    # Power sums modulo 2 ** 64 are weak against long words of a regular build.
+    for i in np.flatnonzero(stop - start > LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(folded[start[i] : stop[i]].tobytes())
     text_ends = bounds[1:] + np.arange(1, len(texts) + 1)
     counts = np.diff(np.searchsorted(start, text_ends), prepend=0)
     return hashes, counts
