@@ -22,31 +22,38 @@ SHARE, EPOCHS = 0.9, 1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear."""
+    """Documents whose language is clear, with all their columns.
+
+    Text that is null, has no letter or fits two languages alike goes; without any label every document goes.
+    """
     prepare(spark)
     return langid.accepted(docs, langid.train(docs))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text."""
+    """One document of each text, the one with the largest id; null text counts as empty, null ids as the smallest.
+
+    Of rows that share text and id the first in the order of text and columns stays.
+    """
     prepare(spark)
     return exact.deduplicated(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """The document with the smallest id of each group of near copies; texts without a word are copies of nothing."""
     prepare(spark)
     return minhash.representatives(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents up to the token budgets of their sources."""
+    """Documents up to the budgets of their sources, in words; null languages and sources are leaves of their own, and texts
+    without a word are left out."""
     prepare(spark)
     return mixing.mixed_documents(docs, mixing_weights(spark), domain_of(), epochs=EPOCHS, share=SHARE)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids and their places in sequences."""
+    """Pieces of token ids and their places in sequences; null text gives one piece with only the end id."""
     prepare(spark)
     pieces = packing.pack_documents(docs, TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
