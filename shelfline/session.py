@@ -103,6 +103,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deal(df: DataFrame, work: int, each: int) -> DataFrame:
+    """``df`` dealt evenly over as many tasks as ``work`` rows need with ``each`` to a task, whatever it lies in.
+
+    For compact tables with much work to a row: their splits follow bytes, and adaptive execution leaves a given number alone.
+    """
+    tasks = -(-work // each)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Prove by a bounded count and byte sum that ``df`` may be broadcast; reads at most ``rows + 1`` rows."""
     width = F.coalesce(F.octet_length(F.to_json(F.struct(*df.columns))), F.lit(0))
