@@ -48,8 +48,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, dtype=np.uint8)
     bounds = bounds - bounds[0]
     # One blank is set between neighbouring texts, so no word spans two.
-    folded = np.full(len(raw) + len(texts), ord(" "), dtype=np.uint8)
-    folded[np.arange(len(raw)) + np.repeat(np.arange(len(texts)), np.diff(bounds))] = _fold[raw]
+    folded = np.insert(_fold[raw], bounds[1:], ord(" "))
     inside = ~_blank[folded]
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     start, stop = edge[::2], edge[1::2]
@@ -65,6 +64,14 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values of an array that is not empty; by sorting, as a hash table costs a short array several times more."""
+    values = np.sort(values)
+    first = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
+
+
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; with fewer words than a shingle, one for the whole text."""
     words, counts = word_hashes(texts)
@@ -76,7 +83,7 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     out, at = [], 0
     for count in counts.tolist():
         if count >= WORDS:
-            out.append(np.unique(full[at : at + count - WORDS + 1]))
+            out.append(distinct(full[at : at + count - WORDS + 1]))
         elif count:
             out.append(mixed((words[at : at + count] * PLACES[:count]).sum(keepdims=True) + np.uint64(count)))
         else:
