@@ -18,11 +18,14 @@ from ..operators.listing import extract_scripts, jsonld_scripts
 from ..plans.facts import StoredReader, newest_rows
 from ..plans.jobs import RunResult, page_facts, run_over, stamp
 from ..schemas import PAGES
-from ..session import configure, materialize, scratch_scope
+from ..session import configure, deal, materialize, scratch_scope
 from ..sources.log import FOLD_EVERY, PageLog, newest_versions
 from ..sources.snapshots import VERSION, newest_readable, ok_pages, with_version
 from ..sources.store import Store
 
+#: Pages of a batch that one task reads for all kinds of facts.
+PAGES_EACH = 10_000
+
 
 def _raw(pages: DataFrame, batch: int, frontier: DataFrame | None) -> DataFrame:
     scripted = jsonld_scripts(with_version(ok_pages(pages)).select("url", "html", *VERSION), "ItemList")
@@ -100,9 +103,10 @@ def read_batch(pages: DataFrame, start: DataFrame, base: str) -> tuple[dict[str,
     """Facts of all kinds and page versions of one batch, in one pass over the readable bodies.
 
     A detail page may come before the listing that leads to it, so every page is read for all kinds; only pages of
-    ``start`` are searched for subcategories.
+    ``start`` are searched for subcategories. The few files of a batch give fewer tasks than its pages need, so a large
+    batch is dealt out first, bodies and all.
     """
-    read = materialize(newest_rows(page_facts(pages, start, base)), "batch-facts")
+    read = materialize(newest_rows(page_facts(deal(pages, pages.count(), PAGES_EACH), start, base)), "batch-facts")
     # A page without a rule for its type waits for a model's answer.
     read = read.withColumn("page_type", F.nullif("page_type", F.lit("unknown")))
     failed = with_version(pages.filter(F.coalesce(F.col("status") != 200, F.lit(True))))
