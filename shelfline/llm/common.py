@@ -64,7 +64,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds about ``limit`` bytes in each (one row at least)."""
+    """Cut batches so that ``column`` holds about ``limit`` bytes in each (one row at least).
+
+    Workers outlive their tasks, so at the end what Arrow's pool has kept of freed memory goes back to the system.
+    """
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -78,6 +81,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    pa.default_memory_pool().release_unused()
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +93,11 @@ def pack(pieces: DataFrame, groups: int, length: int = LENGTH, seed: int = SEED)
     dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)))
 
     def fill(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
-        bins, offsets = first_fit_decreasing(np.asarray(group["length"]), length)
+        # Rows stay where they are: only their order is sorted, as the ids of a group are most of a worker's memory.
+        pa.default_memory_pool().release_unused()
+        order = np.asarray(pc.sort_indices(group, sort_keys=[("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")]))
+        bins, offsets = np.empty((2, len(order)), dtype=np.int64)
+        bins[order], offsets[order] = first_fit_decreasing(np.asarray(group["length"])[order], length)
         first = group["pack_group"][0].as_py() << 32
         return group.drop_columns(["pack_group"]).append_column("sequence_id", pa.array(first + bins)).append_column("offset", pa.array(offsets))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ class _Known(dict):
         self.clear()
         self.new: list[str] = []
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
-        self.start, self.length = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
+        self.start, self.length = np.zeros(1 << 14, dtype=np.int32), np.zeros(1 << 14, dtype=np.int32)
 
     def __missing__(self, key: str) -> int:
         place = self[key] = len(self)
@@ -66,7 +67,7 @@ class _Known(dict):
         self.new = []
 
     def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lengths = self.length[places]
+        lengths = self.length[places].astype(np.int64)
         return self.flat[ragged(self.start[places], lengths)], lengths
 
 
@@ -77,20 +78,32 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.words = Tokenizer.from_file(path)
         self.words.encode_special_tokens = True
         self.words.normalizer = None
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        vocabulary = self.whole.get_vocab(with_added_tokens=True)
+        vocabulary = self.words.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self.known = _Known(kept)
 
+    @cached_property
+    def whole(self):
+        """The tokenizer as the file has it, opened when the first chunk needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids as uint32, number of ids of each text); null counts as empty."""
+        """(all ids as uint32, number of ids of each text); null counts as empty. Arrow's scratch goes back to the system, as workers live on."""
+        out = self._encode(texts)
+        pa.default_memory_pool().release_unused()
+        return out
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         texts = pc.fill_null(texts.cast(pa.large_string()), "")

@@ -34,6 +34,15 @@ def test_encoder_nulls_special_strings_and_a_full_store():
         assert (ids.tolist(), counts.tolist()) == ([i for x in want for i in x], [len(x) for x in want])
 
 
+def test_encoder_opens_the_whole_tokenizer_only_for_odd_chunks():
+    fresh = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    ids, _ = fresh.encode(pa.array(["plain words"]))
+    assert "whole" not in vars(fresh)
+    assert ids.tolist() == ENCODER.whole.encode("plain words", add_special_tokens=False).ids
+    assert fresh.encode(pa.array(["\u65e5"]))[0].tolist() == ENCODER.whole.encode("\u65e5", add_special_tokens=False).ids
+    assert "whole" in vars(fresh)
+
+
 def test_encoder_equals_an_untouched_library_on_special_strings():
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "hello", "x", " ", "\n", "\t", "\u00a0", "<", "日", "don't"]
