@@ -21,16 +21,16 @@ copies; an empty table gives an empty result; other columns are not read. Ids ar
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import bucketed, bytes_of, parts, slices
+from .common import bucketed, bytes_of, parts, ragged, slices
 from .shingles import mixed
 
 LENGTH, GRAM = 100, 32
@@ -43,6 +43,8 @@ LOW = np.uint64((1 << 28) - 1)
 #: Text bytes for which one part is made; bytes of suffixes that a task sorts at once.
 PART_BYTES, RUN_BYTES = 16 << 20, 24 << 20
 SLICE = 2 << 20
+#: Text bytes hashed at once: the hashes, eight bytes each, and their minima stay in a core's cache.
+BLOCK = 1 << 17
 FIRST = -(1 << 63)
 _table = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -62,27 +64,40 @@ def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if len(raw) < LENGTH:
         return empty.view(np.uint64), empty, empty, empty
     hashes = gram_hashes(raw)
-    least = (hashes & ~LOW) | (LOW - np.arange(len(hashes), dtype=np.uint64))
+    least = LOW - np.arange(len(hashes), dtype=np.uint64)
+    least |= hashes & ~LOW
     size = 1
     while size * 2 <= SPAN:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < SPAN:
         least = np.minimum(least[: -(SPAN - size)], least[SPAN - size :])
-    place = (LOW - (least & LOW)).astype(np.int64)
-    starts = np.arange(len(place))
-    owner = np.searchsorted(ends, starts, side="right")
-    inside = starts + LENGTH <= ends[owner]
-    edge = np.ones(len(place), dtype=bool)
-    edge[1:] = (place[1:] != place[:-1]) | (inside[1:] != inside[:-1])
+    # No string starts in the last bytes of a text; in a short one that reaches into the last bytes of the one before.
+    outside = np.maximum(ends - LENGTH + 1, 0)
+    inside = np.ones(len(raw), dtype=bool)
+    inside[ragged(outside, ends - outside)] = False
+    inside = inside[: len(least)]
+    # A minimum holds its place, so it changes when the place does.
+    edge = np.ones(len(least), dtype=bool)
+    np.not_equal(least[1:], least[:-1], out=edge[1:])
+    edge[1:] |= inside[1:] != inside[:-1]
     first = np.flatnonzero(edge)
-    last = np.append(first[1:], len(place)) - 1
+    last = np.append(first[1:], len(least)) - 1
     kept = inside[first]
     first, last = first[kept], last[kept]
-    found = place[first]
+    found = (LOW - (least[first] & LOW)).astype(np.int64)
     return hashes[found], found, found - last, found - first
 
 
+def bytes_in(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 bytes of all texts, one after another, and where each ends), without copies; texts hold no null."""
+    texts = texts.cast(pa.large_string())
+    bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, dtype=np.uint8)
+    return raw, bounds[1:] - bounds[0]
+
+
 def texts_of(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, sub, digest, n_bytes; texts: one row per distinct text, stored in buckets by id)."""
     spark = docs.sparkSession
@@ -103,10 +118,9 @@ def repeated_anchors(texts: DataFrame) -> DataFrame:
     """doc_id, sub, anchors: per text, its anchors that occur elsewhere too, packed as place, least and largest offset."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE):
-            cells = [x.encode() for x in batch.column("text").to_pylist()]
-            ends = np.cumsum([len(x) for x in cells])
-            key, place, least, most = anchors(np.frombuffer(b"".join(cells), dtype=np.uint8), ends)
+        for batch in slices(batches, "text", BLOCK):
+            raw, ends = bytes_in(batch.column("text"))
+            key, place, least, most = anchors(raw, ends)
             owner = np.searchsorted(ends, place, side="right")
             local = place - np.append(0, ends)[owner]
             packed = (local << 16) | (least << 8) | most
@@ -259,8 +273,8 @@ def suffix_runs(texts: DataFrame, found: DataFrame, part_count: int) -> DataFram
                             continue
                         known = raw[place - TURN : place + GRAM] if low >= TURN else raw[place : place + LENGTH - TURN + 1]
                         suffix, before = raw[place : place - low + LENGTH], raw[place - high : place]
-                        # hash() of bytes differs between processes; crc-like routing must not.
-                        part = int.from_bytes(hashlib.blake2b(known, digest_size=6).digest(), "big") % part_count
+                        # hash() of bytes differs between processes; routing must not.
+                        part = xxhash.xxh3_64_intdigest(known) % part_count
                         records.append((part, suffix, before, doc, sub, place, low, high))
                         held += len(suffix) + len(before)
                 if held >= RUN_BYTES:

@@ -302,3 +302,16 @@ def test_shingle_sets_are_sorted_without_hash_tables(monkeypatch):
     sets = shingles.shingle_sets(pa.array(texts))
     assert [len(s) for s in sets] == wanted
     assert all((s[1:] > s[:-1]).all() for s in sets)
+
+
+def test_anchors_read_the_bytes_of_a_sliced_array_where_they_lie():
+    rng = random.Random(8)
+    cells = ["".join(rng.choices("ab\u00e9", k=n)) for n in (70, 0, 99, 30, 100, 1, 400, 130, 0)]
+    raw, ends = suffixes.bytes_in(pa.array(["before", *cells, "after"]).slice(1, len(cells)))
+    assert raw.tobytes() == "".join(cells).encode()
+    assert ends.tolist() == np.cumsum([len(x.encode()) for x in cells]).tolist()
+    _, place, least, most = suffixes.anchors(raw, ends)
+    got = sorted(p - o for p, low, high in zip(place.tolist(), least.tolist(), most.tolist(), strict=True) for o in range(low, high + 1))
+    starts = [0, *ends.tolist()]
+    assert got == [i for a, b in zip(starts, starts[1:], strict=False) for i in range(a, b - suffixes.LENGTH + 1)]
+    assert len(suffixes.bytes_in(pa.array([], pa.string()))[0]) == 0
