@@ -20,50 +20,53 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binaries, kind, parts, slices
+from .common import binaries, kind, parts, ragged, slices
 from .tokens import encoder
 
 END = 2
 #: Tokens of a shard, the vocabulary's size, and the count below which a pair stays.
 SHARD_TOKENS, BASE, LEAST = 1 << 19, 49_408, 16
-#: Bits of the largest table that counts pairs.
-BITS = 18
+# A pair of symbols as one number: the left one in the upper half. No pair is NONE.
+HALF, LOW, NONE = np.uint64(32), np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def _frequent_pairs(key: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent_pairs(key: np.ndarray, skipped: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(positions of frequent pairs, their rules, keys of the rules by falling count) for pairs found ``least`` times or more.
 
-    Counting goes through tables of hashed buckets. Each bucket stands for one of its pairs, which is counted exactly;
-    pairs that share a bucket with another, if the bucket has enough of both, go on to a table with another hash.
+    The pairs at the positions ``skipped`` do not count; they are sorted behind all others.
+    Pairs are counted by sorting. Symbols take far less than 32 bits, so that as a rule a pair and its position fit into one
+    number, and plain values are sorted; if they don't, as in a very long text, positions are sorted by their pairs.
     """
-    at, left = np.arange(len(key)), key
-    rule_at = np.full(len(key), -1, dtype=np.int64)
-    keys, counts = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
-    made, factor = 0, 0x9E3779B97F4A7C15
-    while len(at):
-        bits = min(BITS, max(8, len(at).bit_length()))
-        bucket = ((left * np.uint64(factor)) >> np.uint64(64 - bits)).astype(np.int64)
-        enough = np.flatnonzero((np.bincount(bucket, minlength=1 << bits) >= least)[bucket])
-        at, left, bucket = at[enough], left[enough], bucket[enough]
-        owner = np.zeros(1 << bits, dtype=np.uint64)
-        owner[bucket] = left
-        own = owner[bucket] == left
-        mine = bucket[own]
-        exact = np.bincount(mine, minlength=1 << bits)
-        chosen = np.flatnonzero(exact >= least)
-        rule = np.full(1 << bits, -1, dtype=np.int64)
-        rule[chosen] = made + np.arange(len(chosen))
-        rule_at[at[own]] = rule[mine]
-        keys.append(owner[chosen])
-        counts.append(exact[chosen])
-        made += len(chosen)
-        at, left = at[~own], left[~own]
-        factor = factor * 0xD1342543DE82EF95 % (1 << 64)
-    order = np.argsort(-np.concatenate(counts), kind="stable")
-    rank = np.zeros(made, dtype=np.int64)
-    rank[order] = np.arange(made)
-    hit = np.flatnonzero(rule_at >= 0)
-    return hit, rank[rule_at[hit]], np.concatenate(keys)[order]
+    n, left = len(key), len(key) - len(skipped)
+    if not left:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), key[:0]
+    width, bits = int((key & LOW).max()).bit_length(), n.bit_length()
+    if (int(key.max()) >> 32).bit_length() + width + bits <= 64:
+        pairs = key >> HALF
+        pairs <<= np.uint64(width)
+        pairs |= key & LOW
+        pairs <<= np.uint64(bits)
+        pairs |= np.arange(n, dtype=np.uint64)
+        pairs[skipped] = NONE
+        pairs.sort()
+        pairs = pairs[:left]
+        at = pairs & np.uint64((1 << bits) - 1)
+        at = at.view(np.int64)
+        pairs >>= np.uint64(bits)
+    else:
+        pairs = key.copy()
+        pairs[skipped] = NONE
+        at = np.argsort(pairs, kind="stable")[:left]
+        pairs = key[at]
+    first = np.append(0, np.flatnonzero(pairs[1:] != pairs[:-1]) + 1)
+    counts = np.diff(first, append=left)
+    chosen = np.flatnonzero(counts >= least)
+    chosen = chosen[np.argsort(-counts[chosen], kind="stable")]
+    first, counts = first[chosen], counts[chosen]
+    rule_at = np.zeros(n, dtype=np.int32)
+    rule_at[at[ragged(first, counts)]] = np.repeat(np.arange(1, len(chosen) + 1, dtype=np.int32), counts)
+    hit = np.flatnonzero(rule_at)
+    return hit, rule_at.take(hit).astype(np.int64) - 1, key[at[first]]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE, rounds: int | None = None, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,49 +78,54 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE, rounds: int |
     n, ends = len(ids), ends.astype(np.int64)
     symbols = np.append(ids.astype(np.uint32), np.uint32(0))
     # Neighbours inside a document; place n stands for none.
-    after, before = np.append(np.arange(1, n + 1), n), np.append(np.arange(-1, n - 1), n)
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    after[n] = before[n] = n
     after[ends[ends > 0] - 1] = n
     before[np.append(0, ends[ends < n])] = n
     live = np.ones(n, dtype=bool)
     rules = [np.zeros((0, 2), dtype=np.uint32)]
     made = 0
-    counted = np.flatnonzero(after[:n] < n)
+    counted, single = np.arange(n), ends[ends > 0] - 1
     while rounds is None or rounds > 0:
         rounds = None if rounds is None else rounds - 1
-        key = (symbols[counted].astype(np.uint64) << np.uint64(32)) | symbols[after[counted]]
+        following = after.take(counted)
+        key = symbols.take(counted).astype(np.uint64) << HALF if made else symbols[:n].astype(np.uint64) << HALF
+        key |= symbols.take(following) if made else symbols[1:]
         # In a run of one symbol every second pair overlaps the one before it and does not count.
-        run = np.flatnonzero((key[1:] == key[:-1]) & (after[counted[:-1]] == counted[1:])) + 1
+        run = np.flatnonzero(key[1:] == key[:-1])
+        run = run[following[run] == counted[run + 1]] + 1
         start = np.maximum.accumulate(np.where(np.diff(run, prepend=-1) > 1, run, 0))
         odd = run[(run - start) % 2 == 0]
         overlapping = counted[odd]
-        if len(odd):
-            counted, key = np.delete(counted, odd), np.delete(key, odd)
-        hit, rank, found = _frequent_pairs(key, least)
+        # In the first round the last symbol of each document stands among the pairs, too.
+        hit, rank, found = _frequent_pairs(key, odd if made else np.union1d(odd, single), least)
         place = frequent = counted[hit]
         # Of overlapping hits the more frequent pair goes first: a hit stays if none of its neighbours ranks higher.
-        near = after[place[:-1]] == place[1:]
+        near = after.take(place[:-1]) == place[1:]
         lost = np.zeros(len(place), dtype=bool)
         lost[1:] |= near & (rank[:-1] < rank[1:])
         lost[:-1] |= near & (rank[1:] < rank[:-1])
-        place, rank = place[~lost], rank[~lost]
+        stay = np.flatnonzero(~lost)
+        place, rank = place.take(stay), rank.take(stay)
         # A pair that keeps too few places waits; the most frequent one keeps all of its own, so each round gets on.
         used = np.bincount(rank, minlength=len(found)) >= least
         if not used.any():
             break
-        place, rank = place[used[rank]], (np.cumsum(used) - 1)[rank[used[rank]]]
-        gone = after[place]
+        stay = np.flatnonzero(used.take(rank))
+        place, rank = place.take(stay), (np.cumsum(used) - 1).take(rank.take(stay))
+        gone = after.take(place)
         symbols[place] = base + made + rank
         live[gone] = False
-        after[place] = after[gone]
-        before[after[place]] = place
+        after[place] = beyond = after.take(gone)
+        before[beyond] = place
         found = found[used]
-        rules.append(np.stack([found >> np.uint64(32), found & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
+        rules.append(np.stack([found >> HALF, found & LOW], axis=1).astype(np.uint32))
         made += len(found)
         again = np.zeros(n + 1, dtype=bool)
-        again[frequent] = again[overlapping] = again[place] = again[before[place]] = True
+        again[frequent] = again[overlapping] = again[place] = again[before.take(place)] = True
         again[gone] = again[n] = False
         counted = np.flatnonzero(again)
-        counted = counted[after[counted] < n]
+        counted = counted[after.take(counted) < n]
     return symbols[:n][live], np.concatenate([[0], np.cumsum(live)])[ends], np.concatenate(rules)
 
 

@@ -315,3 +315,26 @@ def test_anchors_read_the_bytes_of_a_sliced_array_where_they_lie():
     starts = [0, *ends.tolist()]
     assert got == [i for a, b in zip(starts, starts[1:], strict=False) for i in range(a, b - suffixes.LENGTH + 1)]
     assert len(suffixes.bytes_in(pa.array([], pa.string()))[0]) == 0
+
+
+@pytest.mark.parametrize("above", [0, 1 << 31])
+def test_pairs_are_counted_exactly_however_wide_symbols_are(above):
+    rng = np.random.default_rng(3)
+    left, right = rng.integers(0, 9, 4000).astype(np.uint64) + np.uint64(above), rng.integers(0, 9, 4000).astype(np.uint64) + np.uint64(above)
+    key = (left << np.uint64(32)) | right
+    skipped = np.flatnonzero(rng.random(4000) < 0.2)
+    hit, rank, found = repair._frequent_pairs(key, skipped, 40)
+    counted = np.delete(key, skipped)
+    values, counts = np.unique(counted, return_counts=True)
+    assert sorted(found.tolist()) == values[counts >= 40].tolist()
+    assert (found[rank] == key[hit]).all()
+    assert hit.tolist() == [i for i in range(4000) if key[i] in found and i not in set(skipped.tolist())]
+    sizes = np.bincount(rank)
+    assert (np.diff(sizes) <= 0).all() and sizes.sum() == counts[counts >= 40].sum()
+
+
+def test_a_pair_of_one_symbol_in_documents_of_two():
+    # The last symbols stand among the pairs of the first round and must neither count nor push others out.
+    flat, ends = np.full(64, 7, dtype=np.uint32), np.arange(2, 65, 2)
+    symbols, symbol_ends, rules = repair.compress(flat, ends, base=10, least=32)
+    assert (symbols.tolist(), symbol_ends.tolist(), rules.tolist()) == ([10] * 32, list(range(1, 33)), [[7, 7]])
